@@ -1,0 +1 @@
+"""Empty on purpose: every job in scope is a one-shot batch, so there is no stream to rebuild."""
