@@ -40,9 +40,11 @@ def box_area(prefix="") -> Column:
 
 def polygon_area(xs, ys, ring_sizes) -> Column:
     """Shoelace sum over all rings, as a built-in expression."""
-    xs, ys = _col(xs), _col(ys)
     # Relative to the first point, so that large coordinates do not cost digits.
-    xs, ys = (F.transform(c, lambda v, c=c: v - F.element_at(c, 1)) for c in (xs, ys))
+    def shifted(a):
+        return F.transform(a, lambda v: v - F.element_at(a, 1))
+
+    xs, ys = shifted(_col(xs)), shifted(_col(ys))
 
     def turned(a):
         return F.concat(F.slice(a, F.lit(2), F.size(a)), F.slice(a, F.lit(1), F.lit(1)))

@@ -57,29 +57,30 @@ def _fold_table(form, dropped):
     return "".join(single) + "".join(removed), "".join(single.values()), expansions
 
 
-def _fold(c: Column, form: str, dropped: str) -> Column:
+def _once(c: Column, rule) -> Column:
+    """``rule(c)`` with ``c`` named once: filters on the result are pushed down with the whole expression, and every
+    further mention of an input that is itself computed would multiply the plan."""
+    return F.get(F.transform(F.array(c), rule), F.lit(0))
+
+
+def _fold(text: Column, form: str, dropped: str) -> Column:
     source, target, expansions = _fold_table(form, dropped)
     if expansions:
         # Ligatures, fractions and the like turn into several characters. The branch runs only for values
         # that hold one of them, and looks up only their non-ASCII characters. The map is one literal to Spark.
         pairs = "\x01".join(k + "\x02" + v for k, v in expansions.items())
         lookup = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
-
-        def spell_out(text):
-            letters = F.transform(
-                F.split(text, ""),
-                lambda x: F.when(x < F.lit("\x80"), x).otherwise(F.coalesce(F.try_element_at(lookup, x), x)),
-            )
-            # A table look-up per character finds them; a regular expression would try a thousand alternatives.
-            holds_some = F.translate(text, "".join(expansions), "") != text
-            return F.when(holds_some, F.array_join(letters, "")).otherwise(text)
-
-        # The one-element array names the value once, however often the rule mentions it.
-        c = F.get(F.transform(F.array(c), spell_out), F.lit(0))
-    c = F.translate(c, source, target)
+        letters = F.transform(
+            F.split(text, ""),
+            lambda x: F.when(x < F.lit("\x80"), x).otherwise(F.coalesce(F.try_element_at(lookup, x), x)),
+        )
+        # A table look-up per character finds them; a regular expression would try a thousand alternatives.
+        holds_some = F.translate(text, "".join(expansions), "") != text
+        text = F.when(holds_some, F.array_join(letters, "")).otherwise(text)
+    text = F.translate(text, source, target)
     if dropped == "non_ascii":
-        c = F.regexp_replace(c, _NON_ASCII, "")
-    return c
+        text = F.regexp_replace(text, _NON_ASCII, "")
+    return text
 
 
 def strip(c) -> Column:
@@ -93,26 +94,32 @@ def squeeze(c: Column) -> Column:
 
 
 def fold_key(c) -> Column:
-    """Matching key: null to "", trimmed, inner blanks collapsed, accents removed, upper case.
+    """Matching key: null to "", trimmed, inner blanks collapsed, accents removed, upper case."""
 
-    Printable ASCII without doubled blanks only needs trimming. The text is mentioned few times on purpose: filters
-    on the key are pushed down with the whole expression.
-    """
-    text = F.coalesce(_col(c).cast("string"), F.lit(""))
-    folded = F.when(text.rlike("[^ -~]|  "), _fold(squeeze(text), "NFKD", "marks")).otherwise(F.btrim(text))
-    return F.upper(folded)
+    def rule(text):
+        # Printable ASCII without doubled blanks only needs trimming.
+        full = _once(squeeze(text), lambda t: _fold(t, "NFKD", "marks"))
+        return F.upper(F.when(text.rlike("[^ -~]|  "), full).otherwise(F.btrim(text)))
+
+    return _once(F.coalesce(_col(c).cast("string"), F.lit("")), rule)
 
 
 def fold_ascii(c) -> Column:
     """Null to "", trimmed, reduced to ASCII, upper case. Inner blanks stay as they are."""
-    text = strip(F.coalesce(_col(c).cast("string"), F.lit("")))
-    return F.upper(F.when(text.rlike(_NON_ASCII), _fold(text, "NFKD", "non_ascii")).otherwise(text))
+
+    def rule(text):
+        return F.upper(F.when(text.rlike(_NON_ASCII), _fold(text, "NFKD", "non_ascii")).otherwise(text))
+
+    return _once(strip(F.coalesce(_col(c).cast("string"), F.lit(""))), rule)
 
 
 def drop_accents(c) -> Column:
     """Canonical decomposition without nonspacing marks; the case is kept."""
-    text = _col(c)
-    return F.when(text.rlike(_NON_ASCII), _fold(text, "NFD", "nonspacing")).otherwise(text)
+
+    def rule(text):
+        return F.when(text.rlike(_NON_ASCII), _fold(text, "NFD", "nonspacing")).otherwise(text)
+
+    return _once(_col(c), rule)
 
 
 def trim_upper(c) -> Column:

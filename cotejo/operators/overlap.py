@@ -51,12 +51,13 @@ def _levels_of(df):
 
 def _grid_entries(df, own_as, above_as, other_levels, cell):
     """Grid entries of one side: at the own level under the tags ``own_as``, above it under ``above_as``."""
-    above = F.filter(other_levels, lambda x: x > F.col("own"))
+    df = df.withColumn("_levels", other_levels)
+    above = F.filter("_levels", lambda x: x > F.col("own"))
     tagged = F.concat(
         F.array(*[F.struct(F.lit(t).alias("tag"), F.col("own").alias("level")) for t in own_as]),
         F.transform(above, lambda x: F.struct(F.lit(above_as).alias("tag"), x.alias("level"))),
     )
-    return _cells(df.withColumn("_e", F.explode(tagged)).select("*", "_e.tag", "_e.level").drop("_e", "own"), cell)
+    return _cells(df.withColumn("_e", F.explode(tagged)).select("*", "_e.tag", "_e.level").drop("_e", "_levels", "own"), cell)
 
 
 def candidate_pairs(subjects: DataFrame, parcels: DataFrame, cell=1.0, keep_s=(), keep_p=()) -> DataFrame:
@@ -225,7 +226,7 @@ def ranked(found: DataFrame) -> DataFrame:
 
 def _plain(c):
     """A number with one or two decimals, as the report prints it."""
-    return F.format_number(c, "0.0#")
+    return F.call_function("format_number", c, F.lit("0.0#"))
 
 
 def report_lines(found: DataFrame, subjects: DataFrame) -> DataFrame:

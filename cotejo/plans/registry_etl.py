@@ -74,7 +74,7 @@ class RegistryRun:
         self.info, self.row_id, self._materialize = info, row_id, materialize
         S.case_column(stage, "stage")
         self._base, self._base_case = base, S.case_column(base, info.base_table)
-        self.stage = R.with_key(stage)
+        self.stage = materialize("stage", R.with_key(stage))
         self._attr = S.empty_target(self.stage, row_id) if attr is None else attr
 
     def _evolved(self, target):

@@ -8,6 +8,7 @@ from cotejo.operators import schema as S
 from cotejo.functions.text import fold_key
 from cotejo.plans.registry_etl import RegistryRun, RunInfo, gate_summary
 from cotejo.plans.sheet_audit import audit_summary, prepare_sheet
+from cotejo.sources.durable import stored
 from queryset.catalog import RUN_TEXT, RUN_TS, blank_sql, fold_sql, query, strip_sql
 from queryset.views import spark_view, with_views
 
@@ -187,8 +188,13 @@ def _stage(spark, sf_dir):
     return R.with_key(spark_view(spark, sf_dir, "stage_reg"))
 
 
-def _run(spark, sf_dir):
-    return RegistryRun(*[spark_view(spark, sf_dir, v) for v in ("stage_reg", "target_attr", "target_base")], INFO)
+def _run(spark, sf_dir, **options):
+    return RegistryRun(*[spark_view(spark, sf_dir, v) for v in ("stage_reg", "target_attr", "target_base")], INFO, **options)
+
+
+def _stored_run(spark, sf_dir):
+    """For reports that read the staged rows and both snapshots several times: each is computed once and stored."""
+    return _run(spark, sf_dir, materialize=lambda name, df: stored(df))
 
 
 @query(_attr_sql("SELECT coalesce(ACCION, 'SIN_ACCION') AS ACCION, count(*) AS CANTIDAD FROM attr_rows GROUP BY 1"))
@@ -259,7 +265,7 @@ def first_run_attributes(spark, sf_dir):
 @query(_attr_sql("SELECT 'NOCHANGE' AS ACCION, count(*) AS CANTIDAD FROM win"))
 def second_run_actions(spark, sf_dir):
     """The result of a run, run again with the same sheet: every staged key is unchanged, nothing else happens."""
-    run = _run(spark, sf_dir)
+    run = _stored_run(spark, sf_dir)
     again = R.upsert(run.attr_rows.drop("ACCION"), run.winners, RUN_TS)
     return again.where(F.col("ACCION").isNotNull()).groupBy("ACCION").agg(F.count("*").alias("CANTIDAD"))
 
@@ -271,7 +277,7 @@ def synced_polygons(spark, sf_dir):
 
 @query(_base_sql("SELECT CASE ACCION WHEN 'UPDATE' THEN 'NOCHANGE' ELSE ACCION END AS ACCION, count(*) AS CANTIDAD FROM base_rows WHERE ACCION IS NOT NULL GROUP BY 1"))
 def second_sync_actions(spark, sf_dir):
-    run = _run(spark, sf_dir)
+    run = _stored_run(spark, sf_dir)
     again = R.sync(run.base_rows.drop("ACCION"), run.winners, RUN_TS)
     return again.where(F.col("ACCION").isNotNull()).groupBy("ACCION").agg(F.count("*").alias("CANTIDAD"))
 
@@ -311,12 +317,12 @@ def attribute_log(spark, sf_dir):
 
 @query(_all_sql("SELECT * FROM log_base", _LOG_BASE))
 def polygon_log(spark, sf_dir):
-    return _run(spark, sf_dir).log_polygons()
+    return _stored_run(spark, sf_dir).log_polygons()
 
 
 @query(_all_sql("SELECT * FROM problems", _PROBLEMS))
 def problem_list(spark, sf_dir):
-    return _run(spark, sf_dir).problems()
+    return _stored_run(spark, sf_dir).problems()
 
 
 def _metric(name, count):
@@ -352,7 +358,7 @@ _METRICS = " UNION ALL ".join(
 
 @query(_all_sql(_METRICS))
 def run_metrics(spark, sf_dir):
-    return _run(spark, sf_dir).summary()
+    return _stored_run(spark, sf_dir).summary()
 
 
 @query(
