@@ -76,24 +76,51 @@ def with_box(df, xs="xs", ys="ys"):
     )
 
 
-def _edges(xs, ys, sizes):
-    """Start and end points of every edge of one polygon."""
-    x, y = np.asarray(xs, float), np.asarray(ys, float)
-    nxt = np.arange(1, len(x) + 1)
-    stop = np.cumsum(np.asarray(sizes, int))
-    nxt[stop - 1] = stop - np.asarray(sizes, int)
-    return np.column_stack([x, y, x[nxt], y[nxt]])
-
-
-def _pairings(left, right, mask=None):
-    """Chunks of (pair, row of left, row of right) covering every combination inside each pair."""
-    n = np.array([len(e) for e in left])
-    m = np.array([len(e) for e in right])
-    per_pair = n * m if mask is None else n * m * mask
+class _Batch:
+    """The polygons of one Arrow batch, flattened: one row per edge, and who owns it."""
+
+    def __init__(self, xs, ys, sizes):
+        self.n = len(xs)
+        points = np.fromiter((len(v) for v in xs), int, self.n)
+        rings = np.concatenate([np.asarray(v, int) for v in sizes])
+        x, y = (np.concatenate([np.asarray(v, float) for v in c]) for c in (xs, ys))
+        following = np.arange(1, len(x) + 1)
+        stop = np.cumsum(rings)
+        following[stop - 1] = stop - rings
+        self.first = np.cumsum(points) - points
+        self.owner = np.repeat(np.arange(self.n), points)
+        self.edges = np.column_stack([x, y, x[following], y[following]])
+        self.counts = points
+
+    def shift(self, origin):
+        """Coordinates relative to one point per polygon, so that large ones do not cost digits."""
+        self.edges -= np.tile(origin, (1, 2))[self.owner]
+
+    def starts(self):
+        return self.edges[self.first, :2]
+
+    def sizes(self):
+        e = self.edges
+        return np.abs(np.bincount(self.owner, e[:, 0] * e[:, 3] - e[:, 2] * e[:, 1], self.n)) / 2
+
+    def fans(self):
+        """Counter-clockwise triangles from each polygon's first point over its edges, their signs and counts."""
+        tri = np.stack([self.starts()[self.owner], self.edges[:, :2], self.edges[:, 2:]], axis=1)
+        u, v = tri[:, 1] - tri[:, 0], tri[:, 2] - tri[:, 0]
+        twice = u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
+        tri[twice < 0] = tri[twice < 0][:, [0, 2, 1]]
+        solid = twice != 0
+        return tri[solid], np.sign(twice[solid]), np.bincount(self.owner[solid], minlength=self.n)
+
+
+def _pairings(n, m, wanted=None):
+    """Chunks of (pair, row of left, row of right) covering every combination inside each (wanted) pair."""
+    per_pair = n * m if wanted is None else n * m * wanted
     ends = np.cumsum(per_pair)
     l0, r0 = np.cumsum(n) - n, np.cumsum(m) - m
-    for lo in range(0, int(ends[-1]) if len(ends) else 0, _CHUNK):
-        k = np.arange(lo, min(lo + _CHUNK, int(ends[-1])))
+    total = int(ends[-1]) if len(ends) else 0
+    for lo in range(0, total, _CHUNK):
+        k = np.arange(lo, min(lo + _CHUNK, total))
         pair = np.searchsorted(ends, k, side="right")
         local = k - (ends[pair] - per_pair[pair])
         yield pair, l0[pair] + local // m[pair], r0[pair] + local % m[pair]
@@ -122,23 +149,14 @@ def _clip(poly, count, a, b):
     return np.take_along_axis(both, order[:, :, None], axis=1), np.minimum(used.sum(axis=1), width + 1)
 
 
-def _fan(edges):
-    """Signed, counter-clockwise triangles from the polygon's first point over all its edges."""
-    apex = np.broadcast_to(edges[0, :2], (len(edges), 2))
-    tri = np.stack([apex, edges[:, :2], edges[:, 2:]], axis=1)
-    u, v = tri[:, 1] - tri[:, 0], tri[:, 2] - tri[:, 0]
-    twice = u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
-    tri[twice < 0] = tri[twice < 0][:, [0, 2, 1]]
-    solid = twice != 0
-    return tri[solid], np.sign(twice[solid])
-
-
 def _shared_area(left, right):
-    fans_l, fans_r = [_fan(e) for e in left], [_fan(e) for e in right]
-    tri_l, sign_l = (np.concatenate([f[i] for f in fans_l]) for i in (0, 1))
-    tri_r, sign_r = (np.concatenate([f[i] for f in fans_r]) for i in (0, 1))
-    total = np.zeros(len(left))
-    for pair, i, j in _pairings([f[1] for f in fans_l], [f[1] for f in fans_r]):
+    tri_l, sign_l, n = left.fans()
+    tri_r, sign_r, m = right.fans()
+    box_l, box_r = ((t.min(axis=1), t.max(axis=1)) for t in (tri_l, tri_r))
+    total = np.zeros(left.n)
+    for pair, i, j in _pairings(n, m):
+        near = ((box_l[0][i] < box_r[1][j]) & (box_r[0][j] < box_l[1][i])).all(axis=1)
+        pair, i, j = pair[near], i[near], j[near]
         poly, cutter = tri_l[i], tri_r[j]
         count = np.full(len(i), 3)
         for k in range(3):
@@ -148,16 +166,15 @@ def _shared_area(left, right):
         q = np.take_along_axis(poly, nxt[:, :, None], axis=1)
         cross = np.where(slot < count[:, None], poly[:, :, 0] * q[:, :, 1] - q[:, :, 0] * poly[:, :, 1], 0)
         area = np.abs(cross.sum(axis=1)) / 2 * sign_l[i] * sign_r[j]
-        total += np.bincount(pair, weights=area, minlength=len(left))
+        total += np.bincount(pair, weights=area, minlength=left.n)
     return np.abs(total)
 
 
 def _boundaries_meet(left, right, wanted, tol):
     """For the wanted pairs: some edge of one comes within ``tol`` of an edge of the other."""
-    meets = np.zeros(len(left), bool)
-    flat_l, flat_r = np.concatenate(left), np.concatenate(right)
-    for pair, i, j in _pairings(left, right, wanted.astype(int)):
-        s, t = flat_l[i], flat_r[j]
+    meets = np.zeros(left.n, bool)
+    for pair, i, j in _pairings(left.counts, right.counts, wanted.astype(int)):
+        s, t = left.edges[i], right.edges[j]
         near = np.full(len(i), np.inf)
         for p, seg in ((s[:, :2], t), (s[:, 2:], t), (t[:, :2], s), (t[:, 2:], s)):
             d = seg[:, 2:] - seg[:, :2]
@@ -190,18 +207,12 @@ def polygon_overlap(xy_tol=1e-9, area_tol=1e-9):
     ) -> pd.DataFrame:
         if len(lx) == 0:
             return pd.DataFrame({"area": np.zeros(0), "touches": np.zeros(0, bool)})
-        left = [_edges(*p) for p in zip(lx, ly, ls)]
-        right = [_edges(*p) for p in zip(rx, ry, rs)]
-        # Each pair relative to one of its own points, so that large coordinates do not cost digits.
-        origins = [np.tile(e[0, :2], 2) for e in left]
-        left = [e - o for e, o in zip(left, origins)]
-        right = [e - o for e, o in zip(right, origins)]
+        left, right = _Batch(lx, ly, ls), _Batch(rx, ry, rs)
+        origin = left.starts().copy()
+        left.shift(origin)
+        right.shift(origin)
         area = _shared_area(left, right)
-
-        def size(e):
-            return abs((e[:, 0] * e[:, 3] - e[:, 2] * e[:, 1]).sum()) / 2
-
-        smaller = np.array([min(size(a), size(b)) for a, b in zip(left, right)])
+        smaller = np.minimum(left.sizes(), right.sizes())
         area[area <= area_tol * np.maximum(smaller, area_tol)] = 0.0
         touches = _boundaries_meet(left, right, area == 0, xy_tol)
         return pd.DataFrame({"area": area, "touches": touches})

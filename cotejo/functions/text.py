@@ -15,6 +15,7 @@ SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 
 _SPACE_CHARACTERS = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
 _NON_ASCII = r"[^\x00-\x7F]"
+_BEYOND_LATIN1 = r"[^\x00-\x7F\xC0-\xFF]"
 
 # A case id inside running text: year, two letter groups, number (fixed value).
 CASE_ID_PATTERN = r"[0-9]{4}-[A-Z]+-[A-Z]+-[0-9]+"
@@ -57,30 +58,33 @@ def _fold_table(form, dropped):
     return "".join(single) + "".join(removed), "".join(single.values()), expansions
 
 
-def _once(c: Column, rule) -> Column:
-    """``rule(c)`` with ``c`` named once: filters on the result are pushed down with the whole expression, and every
-    further mention of an input that is itself computed would multiply the plan."""
+def _fold(c: Column, form: str, dropped: str) -> Column:
+    """Decompose and drop characters; meant for values that are not plain ASCII."""
+    source, target, expansions = _fold_table(form, dropped)
+
+    def rule(text):
+        if expansions:
+            # Ligatures, fractions and the like turn into several characters; no Latin-1 letter does. Only values
+            # beyond that take this branch, and only their non-ASCII characters are looked up. The map is one
+            # literal to Spark.
+            pairs = "\x01".join(k + "\x02" + v for k, v in expansions.items())
+            lookup = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+            letters = F.transform(
+                F.split(text, ""),
+                lambda x: F.when(x < F.lit("\x80"), x).otherwise(F.coalesce(F.try_element_at(lookup, x), x)),
+            )
+            text = F.when(text.rlike(_BEYOND_LATIN1), F.array_join(letters, "")).otherwise(text)
+        text = F.translate(text, source, target)
+        return F.regexp_replace(text, _NON_ASCII, "") if dropped == "non_ascii" else text
+
+    # The one-element array names the value once. Filters on a key are pushed down with the whole expression, and
+    # every further mention of an input that is itself computed would multiply the plan.
     return F.get(F.transform(F.array(c), rule), F.lit(0))
 
 
-def _fold(text: Column, form: str, dropped: str) -> Column:
-    source, target, expansions = _fold_table(form, dropped)
-    if expansions:
-        # Ligatures, fractions and the like turn into several characters. The branch runs only for values
-        # that hold one of them, and looks up only their non-ASCII characters. The map is one literal to Spark.
-        pairs = "\x01".join(k + "\x02" + v for k, v in expansions.items())
-        lookup = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
-        letters = F.transform(
-            F.split(text, ""),
-            lambda x: F.when(x < F.lit("\x80"), x).otherwise(F.coalesce(F.try_element_at(lookup, x), x)),
-        )
-        # A table look-up per character finds them; a regular expression would try a thousand alternatives.
-        holds_some = F.translate(text, "".join(expansions), "") != text
-        text = F.when(holds_some, F.array_join(letters, "")).otherwise(text)
-    text = F.translate(text, source, target)
-    if dropped == "non_ascii":
-        text = F.regexp_replace(text, _NON_ASCII, "")
-    return text
+def _is_ascii(c: Column) -> Column:
+    """As many bytes as characters."""
+    return F.octet_length(c) == F.length(c)
 
 
 def strip(c) -> Column:
@@ -95,31 +99,22 @@ def squeeze(c: Column) -> Column:
 
 def fold_key(c) -> Column:
     """Matching key: null to "", trimmed, inner blanks collapsed, accents removed, upper case."""
-
-    def rule(text):
-        # Printable ASCII without doubled blanks only needs trimming.
-        full = _once(squeeze(text), lambda t: _fold(t, "NFKD", "marks"))
-        return F.upper(F.when(text.rlike("[^ -~]|  "), full).otherwise(F.btrim(text)))
-
-    return _once(F.coalesce(_col(c).cast("string"), F.lit("")), rule)
+    text = F.coalesce(_col(c).cast("string"), F.lit(""))
+    # Printable ASCII without doubled blanks only needs trimming.
+    special = text.rlike("[^ -~]|  ")
+    return F.upper(F.when(special, _fold(squeeze(text), "NFKD", "marks")).otherwise(F.btrim(text)))
 
 
 def fold_ascii(c) -> Column:
     """Null to "", trimmed, reduced to ASCII, upper case. Inner blanks stay as they are."""
-
-    def rule(text):
-        return F.upper(F.when(text.rlike(_NON_ASCII), _fold(text, "NFKD", "non_ascii")).otherwise(text))
-
-    return _once(strip(F.coalesce(_col(c).cast("string"), F.lit(""))), rule)
+    text = strip(F.coalesce(_col(c).cast("string"), F.lit("")))
+    return F.upper(F.when(_is_ascii(text), text).otherwise(_fold(text, "NFKD", "non_ascii")))
 
 
 def drop_accents(c) -> Column:
     """Canonical decomposition without nonspacing marks; the case is kept."""
-
-    def rule(text):
-        return F.when(text.rlike(_NON_ASCII), _fold(text, "NFD", "nonspacing")).otherwise(text)
-
-    return _once(_col(c), rule)
+    text = _col(c)
+    return F.when(_is_ascii(text), text).otherwise(_fold(text, "NFD", "nonspacing"))
 
 
 def trim_upper(c) -> Column:

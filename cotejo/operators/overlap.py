@@ -106,6 +106,8 @@ def _measured(pairs, subjects, parcels, shape, xy_tol, area_tol):
     for side, df in (("s_", subjects), ("p_", parcels)):
         rings = df.select(F.col("oid").alias(f"{side}oid"), *[F.col(c).alias(side + c) for c in RING])
         pairs = pairs.join(rings, f"{side}oid")
+    # Measuring costs far more than moving a pair, so the pairs are spread evenly first.
+    pairs = pairs.repartition("s_oid", "p_oid")
     measure = polygon_overlap(xy_tol, area_tol)
     out = pairs.withColumn("_m", measure(*[F.col(side + c) for side in ("s_", "p_") for c in RING]))
     out = out.where((F.col("_m.area") > 0) | F.col("_m.touches"))
