@@ -207,11 +207,14 @@ def overlaps_of_new(
     )
 
 
+def acceptable(candidates, id_col="EXPEDIENTE"):
+    """Candidates with an acceptable id; of several with one id the first."""
+    return one_per_key(candidates.where(P.new_id_problem(id_col).isNull()), id_col, F.asc("oid"))
+
+
 def add_parcels(base, candidates, id_col="EXPEDIENTE"):
-    """Append the valid candidates: an acceptable id and, of several rows with one id, the first."""
-    valid = candidates.where(P.new_id_problem(id_col).isNull())
-    first = one_per_key(valid, id_col, F.asc("oid"))
-    return base.unionByName(first, allowMissingColumns=True)
+    """Append the acceptable candidates."""
+    return base.unionByName(acceptable(candidates, id_col), allowMissingColumns=True)
 
 
 def analysed_subjects(parcels, ids, shape="box", id_col="EXPEDIENTE"):

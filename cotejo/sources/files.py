@@ -7,7 +7,10 @@ from cotejo.functions.text import file_suffix
 
 
 def list_files(spark: SparkSession, folder: str, pattern=None, recursive=True) -> DataFrame:
-    """path, modificationTime, length of every file; the local-file scheme is dropped from the path."""
+    """path, modificationTime, length of every file; the local-file scheme is dropped from the path.
+
+    Spark's file sources leave out empty files and names that start with ``_`` or ``.``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
