@@ -16,6 +16,7 @@ NO_DATA = "SIN_DATOS"
 ARCHIVED = "ARCHIVADO"
 
 _STAGED = "_staged_"
+_ROW_KEY = "_row_key"
 
 
 def with_key(df: DataFrame, case=None) -> DataFrame:
@@ -32,16 +33,25 @@ def _has_key():
     return F.coalesce(F.col(S.KEY) != "", F.lit(False))
 
 
+def _with_row_key(target, row_id):
+    """The key to group and join by: rows without one get a value of their own instead of meeting in one group."""
+    own = F.concat(F.lit("\x00"), F.col(row_id).cast("string"))
+    return target.withColumn(_ROW_KEY, F.when(_has_key(), F.col(S.KEY)).otherwise(own))
+
+
 def _survivor_order(target, row_id):
     date = S.preferred_date(target)
     newest = [F.col(date).desc_nulls_last()] if date else []
     return [*newest, F.col(row_id).asc()]
 
 
+def _unique_rows(target, row_id):
+    return one_per_key(_with_row_key(target, row_id), _ROW_KEY, *_survivor_order(target, row_id))
+
+
 def drop_duplicates(target: DataFrame, row_id="oid") -> DataFrame:
     """One row per key: latest preferred date, then lowest row id. Rows without a key all stay."""
-    kept = one_per_key(target.where(_has_key()), S.KEY, *_survivor_order(target, row_id))
-    return kept.unionByName(target.where(~_has_key()))
+    return _unique_rows(target, row_id).drop(_ROW_KEY)
 
 
 def duplicate_losers(target: DataFrame, row_id="oid") -> DataFrame:
@@ -56,7 +66,8 @@ def _staged(winners, pairs):
     """Winners under prefixed names: the key, the sheet order and the columns to transfer."""
     columns = dict.fromkeys(["row_seq", *[s for _, s in pairs]])
     return winners.select(
-        S.KEY, F.col(S.KEY).alias(_STAGED + S.KEY), *[F.col(c).alias(_STAGED + c) for c in columns]
+        F.col(S.KEY).alias(_ROW_KEY), F.col(S.KEY).alias(_STAGED + S.KEY),
+        *[F.col(c).alias(_STAGED + c) for c in columns],
     )
 
 
@@ -112,30 +123,32 @@ def last_row_id(target: DataFrame, row_id="oid"):
     return target.agg(F.coalesce(F.max(row_id), F.lit(0))).scalar()
 
 
-def upsert(target: DataFrame, winners: DataFrame, run_ts, row_id="oid", after=None) -> DataFrame:
+def upsert(target: DataFrame, winners: DataFrame, run_ts, row_id="oid", after=None, deduplicate=False) -> DataFrame:
     """Insert, update or keep attribute rows; those not staged turn SIN_DATOS.
 
-    ``target`` holds every non-blank key once. Rows without a key cannot match, so they bypass the join instead of
-    meeting in one of its partitions. Inserted rows get ids above ``after`` (default: the target's highest).
+    Every non-blank key must occur once in ``target``, or ``deduplicate`` leaves one row of each; the join then reuses
+    that shuffle. Inserted rows get ids above ``after`` (default: the target's highest).
     """
     pairs = S.transfer_pairs(target, winners, row_id)
-    staged = _staged(winners, pairs)
-    keyless = target.where(~_has_key()).withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in staged.schema.fields if f.name != S.KEY}
-    )
-    joined = target.where(_has_key()).join(staged, S.KEY, "full_outer").unionByName(keyless)
+    rows = _unique_rows(target, row_id) if deduplicate else _with_row_key(target, row_id)
+    joined = rows.join(_staged(winners, pairs), _ROW_KEY, "full_outer")
     after = last_row_id(target, row_id) if after is None else after
     new_id = after + 1 + F.col(_STAGED + "row_seq")
     return _apply(joined, target, pairs, run_ts, lambda is_set: ~is_set, row_id, new_id)
 
 
-def sync(target: DataFrame, winners: DataFrame, run_ts, row_id="oid") -> DataFrame:
+def sync(target: DataFrame, winners: DataFrame, run_ts, row_id="oid", deduplicate=False) -> DataFrame:
     """Update every polygon row of a staged key, insert nothing; keys that are not staged turn SIN_DATOS.
 
-    Unlike in ``upsert``, rows that already are SIN_DATOS count again.
+    Unlike in ``upsert``, rows that already are SIN_DATOS count again. A key may occur in many rows; with
+    ``deduplicate`` one of each is left first, and the join reuses that shuffle.
     """
     pairs = S.transfer_pairs(target, winners, row_id)
-    joined = lookup_join(target, _staged(winners, pairs), S.KEY)
+    staged = _staged(winners, pairs)
+    if deduplicate:
+        joined = _unique_rows(target, row_id).join(staged, _ROW_KEY, "left")
+    else:
+        joined = lookup_join(_with_row_key(target, row_id), staged, _ROW_KEY)
     return _apply(joined, target, pairs, run_ts, lambda is_set: _has_key(), row_id)
 
 

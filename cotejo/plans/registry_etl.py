@@ -99,14 +99,13 @@ class RegistryRun:
 
     @cached_property
     def attr_rows(self) -> DataFrame:
-        kept = R.drop_duplicates(self.attr_before, self.row_id)
         after = R.last_row_id(self._attr, self.row_id)
-        rows = R.upsert(kept, self.winners, self.info.run_ts, self.row_id, after)
+        rows = R.upsert(self.attr_before, self.winners, self.info.run_ts, self.row_id, after, deduplicate=True)
         return self._materialize(self.info.attr_table, rows)
 
     @cached_property
     def base_rows(self) -> DataFrame:
-        rows = R.sync(self.base_kept, self.winners, self.info.run_ts, self.row_id)
+        rows = R.sync(self.base_before, self.winners, self.info.run_ts, self.row_id, deduplicate=True)
         return self._materialize(self.info.base_table, rows)
 
     # Detectors
