@@ -1,6 +1,6 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs once to warm up and then $BENCH_RUNS times (default 3); the median wall time counts, from building
+Each query runs once to warm up and then $BENCH_RUNS times (default 1); the median wall time counts, from building
 the frame to the last row, which goes to Spark's no-op sink.
 """
 
@@ -26,7 +26,7 @@ HEADLINE = (
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session(
         "bench", f"local[{cpus}]", cpus, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     )
