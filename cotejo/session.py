@@ -1,5 +1,9 @@
 """Session settings the operators are written for."""
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # AQE does the run-time sizing: it coalesces small shuffle partitions, splits skewed ones and turns a
@@ -27,3 +31,18 @@ def build_session(app_name="cotejo", master=None, shuffle_partitions=None, extra
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+_shipped = set()
+
+
+def ship_package(spark):
+    """Give this package to the Python workers, once per application: they may start in any folder of any machine."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="cotejo-ship-")
+    archive = shutil.make_archive(os.path.join(folder, "cotejo"), "zip", os.path.dirname(root), os.path.basename(root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
