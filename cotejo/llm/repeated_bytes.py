@@ -74,9 +74,11 @@ def segments(data, ends, length=LENGTH, gram=GRAM):
     # a run of windows with one minimum keeps its anchor until it leaves the window or a smaller one comes
     starts = np.flatnonzero(inside & np.append(True, (low[1:] != low[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]))
     stops = np.flatnonzero(inside & np.append((low[1:] != low[:-1]) | (doc[1:] != doc[:-1]) | ~inside[1:], True))
-    place, value = np.zeros(0, np.int64), low[starts]
+    value = low[starts]
     found, first, last = [], [], []
     value_at = _first_at(hashes, value, starts, wide)
+    if not len(starts):
+        return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4
     while len(starts):  # equal grams close together: the run goes on with the next of them
         stay = np.minimum(stops, value_at)
         found.append(value_at)
