@@ -126,13 +126,12 @@ def judged(pages: DataFrame, rules, page_id="page_id", url="url", html="html", s
 
     block = F.col("ruled.verdict") == "block"
     learnt = tokens.filter("ruled IS NOT NULL").select("pages", block.alias("block"), F.explode("tokens").alias("token"))
-    learnt = learnt.groupBy("token").agg(*_counted("token"))
-    if seeds:
+    learnt = stored(learnt.groupBy("token").agg(*_counted()))
+    b, a, kinds = learnt.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
+    if seeds:  # they add to their own tokens, not to the totals
         seeded = seen.sparkSession.createDataFrame([(f"host:{w}", float(seed_weight), 0.0) for w in seeds], "token string, b double, a double")
         learnt = learnt.unionByName(seeded).groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
-    learnt = stored(learnt)
-    b, a, kinds = learnt.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
-    pb, pa = seen.filter("ruled IS NOT NULL").withColumn("block", F.col("ruled.verdict") == "block").agg(*_counted("prior")).first()
+    pb, pa = seen.filter("ruled IS NOT NULL").withColumn("block", F.col("ruled.verdict") == "block").agg(*_counted()).first()
     b, a, prior = (b or 0.0) + smoothing * (kinds + 1), (a or 0.0) + smoothing * (kinds + 1), math.log(((pb or 0.0) + 1) / ((pa or 0.0) + 1))
     odds = F.log((F.col("b") + smoothing) / b) - F.log((F.col("a") + smoothing) / a)  # a token no class has says nothing
     told = tokens.filter("ruled IS NULL").select("host", "path", F.explode("tokens").alias("token"))
@@ -145,6 +144,6 @@ def judged(pages: DataFrame, rules, page_id="page_id", url="url", html="html", s
     )
 
 
-def _counted(_):
+def _counted():
     weight = F.col("pages").cast("double")
     return F.sum(F.when(F.col("block"), weight).otherwise(0.0)).alias("b"), F.sum(F.when(F.col("block"), 0.0).otherwise(weight)).alias("a")
