@@ -37,7 +37,7 @@ LENGTH = 100
 GRAM = 40
 SAMPLE, HOT_DOCUMENTS = 20_000, 40
 BATCH = 16_384
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 20 << 20
 FILE_BYTES = 256 << 20
 _LAST = np.iinfo(np.int64).max
 
@@ -207,6 +207,15 @@ def _pack(*arrays):
     return b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 
 
+def _squeezed(blob):
+    """What goes through the large shuffles: its length, then the bytes in zstd, denser than the shuffle's own codec."""
+    return len(blob).to_bytes(8, "little") + pa.compress(blob, "zstd", asbytes=True)
+
+
+def _whole(blob):
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True)
+
+
 def _unpack(blob, *kinds):
     """Arrays of equal length packed one after the other."""
     n, at, out = len(blob) // sum(np.dtype(k).itemsize for k in kinds), 0, []
@@ -288,7 +297,7 @@ def _deal(rows, kind, bucket, *arrays):
     arrays = [a[order] for a in arrays]
     cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
     for a, b in zip(cut, np.append(cut[1:], len(bucket))):
-        rows.append((int(bucket[a]), kind, None, _pack(*[x[a:b] for x in arrays])))
+        rows.append((int(bucket[a]), kind, None, _squeezed(_pack(*[x[a:b] for x in arrays]))))
 
 
 def _told(rows):
@@ -297,7 +306,7 @@ def _told(rows):
 
 
 def _joined(table, kind, *kinds):
-    parts = [_unpack(b, *kinds) for k, b in zip(table["kind"].to_pylist(), table["body"].to_pylist()) if k == kind]
+    parts = [_unpack(_whole(b), *kinds) for k, b in zip(table["kind"].to_pylist(), table["body"].to_pylist()) if k == kind]
     return [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, k) for k in kinds]
 
 
@@ -352,7 +361,7 @@ def _segments_out(buckets, length, gram):
             for a, b in zip(cut, np.append(cut[1:], len(bucket))):
                 m = one[a:b]
                 head = _pack(hashes[m], ids[doc[m]], keys[doc[m]], start[m].astype(np.int32), size[m].astype(np.int32))
-                rows.append((int(bucket[a]), _HASHES, head, b"".join(texts[x] for x in m.tolist())))
+                rows.append((int(bucket[a]), _HASHES, _squeezed(head), _squeezed(b"".join(texts[x] for x in m.tolist()))))
             yield _dealt(rows)
 
     return deal
@@ -372,6 +381,7 @@ def _segments_in(length):
         rows, heads, texts = _passed(table), [], []
         for kind, head, body in zip(*(table[c].to_pylist() for c in ("kind", "head", "body"))):
             if kind == _HASHES:
+                head, body = _whole(head), _whole(body)
                 heads.append(_unpack(head, np.uint64, np.int64, np.int64, np.int32, np.int32))
                 stops = np.cumsum(heads[-1][4].astype(np.int64) + length)
                 texts += [body[b - n:b] for b, n in zip(stops.tolist(), (heads[-1][4] + length).tolist())]
