@@ -6,11 +6,11 @@ borrow from filled ones by a fixed probing order. Bands of ``ROWS`` registers ar
 threshold 0.8 misses all 48 bands with probability 5e-7, and one above it less.
 
 Documents with equal shingle sets collapse first (128-bit set hash), so copies are never paired. In a bucket every set is
-compared with the bucket's centre only. A set that is not linked to the centre by then meets the other sets of that
-centre, but only those the triangle inequality of the Jaccard distance leaves open, that are not in its component
-already, that sizes allow, and whose registers' estimate, corrected for register collisions, is not six deviations below the
-threshold. Every pair is confirmed on full shingle sets. So no bucket is expanded into all pairs, and no link between
-candidates is lost. Components come from star contraction over the confirmed links, in frames stored per round.
+compared with the bucket's centre only. Sets that are not linked to their centre then meet the other sets of that centre
+in blocks of ``BLOCK`` by ``BLOCK``, from which only links leave: of a block's pairs those are looked at that the
+triangle inequality of the Jaccard distance leaves open, that are not in one component already, that sizes allow, and
+whose registers' estimate, corrected for register collisions, is not six deviations below the threshold. Every pair is confirmed on full shingle sets. So no
+bucket is expanded into rows of pairs, and no link between candidates is lost. Components come from star contraction over the confirmed links, in frames stored per round.
 
 A shingle is ``size`` consecutive words, A-Z lower-cased; a text of fewer words is one shingle of them all. Documents
 without words or text have no shingles, link with nothing and are kept. Rows that share an id, null ids among them, and
@@ -31,7 +31,8 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 THRESHOLD = 0.8
 SHINGLE = 5
-_PROBES = 4096
+BLOCK = 256
+_LENDERS = 4096
 
 
 def shingle_sets(texts, size):
@@ -58,7 +59,7 @@ def shingle_sets(texts, size):
 @functools.cache
 def _probing():
     """For each bucket the order in which it asks others for a register."""
-    at = np.arange(BUCKETS, dtype=np.uint64)[None, :] + np.arange(_PROBES, dtype=np.uint64)[:, None] * np.uint64(BUCKETS)
+    at = np.arange(BUCKETS, dtype=np.uint64)[None, :] + np.arange(_LENDERS, dtype=np.uint64)[:, None] * np.uint64(BUCKETS)
     return (mix(at + np.uint64(1 << 40)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
@@ -74,7 +75,7 @@ def registers(owner, shingles, count):
     out, given = out.copy(), out
     probes = _probing()
     open_rows, open_slots = np.nonzero(~filled & filled.any(1)[:, None])
-    for step in range(_PROBES):
+    for step in range(_LENDERS):
         if not len(open_rows):
             break
         source = probes[step, open_slots]
@@ -176,51 +177,39 @@ def linked(rows: DataFrame, packed: DataFrame, size, threshold):
     """(nodes: one per distinct non-empty set, links: confirmed pairs of nodes)."""
     sets = rows.filter("n_shingles > 0").groupBy(*_SET).agg(F.min("id_").alias("id"), F.any_value("registers").alias("registers"))
     nodes = stored(sets.withColumn("node", F.monotonically_increasing_id()))
-    sizes = nodes.select("node", F.col("n_shingles").alias("n"))
     bands = nodes.select("node", "registers").mapInArrow(_band_keys, "key long, node long")
     centres = bands.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n_")).filter("n_ > 1").drop("n_")
-    spokes = bands.join(centres, "key").filter("node <> centre").select("centre", "node").distinct()
-    spokes = spokes.join(sizes, "node").join(sizes.select(F.col("node").alias("centre"), F.col("n").alias("n_centre")), "centre")
-    spokes = stored(spokes)
-    first = stored(confirmed(spokes.select(F.col("centre").alias("a"), F.col("node").alias("b")), nodes, packed, size))
+    spokes = stored(bands.join(centres, "key").filter("node <> centre").select("centre", "node").distinct())
+    texts = texts_of(spokes.select(F.explode(F.array("centre", "node")).alias("node")).distinct(), nodes, packed, size)
+    both = spokes.select(F.col("centre").alias("a"), F.col("node").alias("b")).join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    first = both.select("a", "b", "text_a", "text_b").mapInArrow(_overlaps(size), "a long, b long, both long, either long")
     good = F.col("both") * 100 >= F.lit(round(threshold * 100)) * F.col("either")
-    links = first.filter(good).select("a", "b")
-    parts = components(links)
-
-    distance = 1 - F.col("both") / F.col("either")
-    around = spokes.join(first.select(F.col("a").alias("centre"), F.col("b").alias("node"), distance.alias("d"), good.alias("in_")), ["centre", "node"])
-    around = around.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node")).select("centre", "node", "n", "d", "in_", "part")
-    around = stored(around)
-    left = around.filter("NOT in_").select("centre", *[F.col(c).alias(f"{c}_y") for c in ("node", "n", "d", "part")])
-    pairs = around.join(left, "centre").filter(
-        (F.col("part") != F.col("part_y")) & (F.abs(F.col("d") - F.col("d_y")) <= 1 - threshold + 1e-9)
-        & (F.least("n", "n_y") >= threshold * F.greatest("n", "n_y") - 1e-9) & (F.col("in_") | (F.col("node") < F.col("node_y")))
-    )
-    pairs = pairs.select(F.least("node", "node_y").alias("a"), F.greatest("node", "node_y").alias("b")).distinct()
-    pairs = pairs.join(first.select("a", "b"), ["a", "b"], "left_anti")
-    sketch = nodes.select("node", "registers", "n_shingles")
-    pairs = pairs.join(sketch.toDF("a", "ra", "na"), "a").join(sketch.toDF("b", "rb", "nb"), "b")
-    pairs = stored(pairs.mapInArrow(_likely(threshold), "a long, b long"))
-    second = confirmed(pairs, nodes, packed, size).filter(good).select("a", "b")
-    return nodes, stored(links.unionByName(second))
-
-
-def _likely(threshold):
-    def keep(frames):
-        for frame in frames:
-            column = {n: frame.column(i) for i, n in enumerate(frame.schema.names)}
-            ra, rb = (np.frombuffer(b"".join(column[c].to_pylist()), "<u2").reshape(-1, BUCKETS) for c in ("ra", "rb"))
-            few = np.minimum(np.minimum(column["na"].to_numpy(), column["nb"].to_numpy()), BUCKETS)
-            least = threshold - 6 * np.sqrt(threshold * (1 - threshold) / few)
-            good = pa.array(estimate(ra, rb) >= least) if len(frame) else pa.array([], pa.bool_())
-            yield pa.RecordBatch.from_arrays([column["a"].filter(good), column["b"].filter(good)], names=["a", "b"])
-
-    return keep
-
-
-def confirmed(pairs: DataFrame, nodes: DataFrame, packed: DataFrame, size) -> DataFrame:
-    """a, b, both, either: shared and united shingles of each pair of nodes, from the full texts."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.drop("registers"), "node")
+    first = stored(first.select(F.col("a").alias("centre"), F.col("b").alias("node"), (1 - F.col("both") / F.col("either")).alias("d"), good.alias("in_")))
+    links = first.filter("in_").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+
+    # sets that are open at a centre, and those that may be near one of them: distances to the centre differ by at most 1 - threshold
+    far = 1 - threshold + 1e-9
+    open_ = first.filter("NOT in_").groupBy("centre").agg(F.min("d").alias("least"), F.count("*").alias("n_open"))
+    ring = first.join(open_, "centre").filter(F.col("d") >= F.col("least") - far)
+    ring = ring.join(components(links), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    ring = ring.join(ring.groupBy("centre").agg(F.count("*").alias("n_ring")).filter("n_ring > 1"), "centre")
+    across, down = (F.ceil(F.col(c) / BLOCK) for c in ("n_ring", "n_open"))
+    sides = [F.struct(F.lit(False).alias("open"), F.pmod(F.xxhash64("node"), across).alias("x"), F.sequence(F.lit(0).cast("long"), down - 1).alias("ys"))]
+    sides.append(F.struct(F.lit(True).alias("open"), F.pmod(F.xxhash64("node"), down).alias("y"), F.sequence(F.lit(0).cast("long"), across - 1).alias("xs")))
+    base = ["centre", "node", "d", "part"]
+    as_x = ring.withColumn("s", sides[0]).select(*base, "s.open", "s.x", F.explode("s.ys").alias("y"))
+    as_y = ring.filter("NOT in_").withColumn("s", sides[1]).select(*base, "s.open", F.explode("s.xs").alias("x"), "s.y")
+    blocks = stored(as_x.unionByName(as_y))
+    groups = -(-max(blocks.count(), 1) // (2 * BLOCK))
+    blocks = blocks.withColumn("group", F.pmod(F.xxhash64("centre", "x", "y"), F.lit(groups)))
+    blocks = blocks.join(texts, "node").join(nodes.select("node", "registers", "n_shingles"), "node")
+    more = blocks.groupBy("group").applyInArrow(_near_in_blocks(size, threshold), "a long, b long")
+    return nodes, stored(links.unionByName(more))
+
+
+def texts_of(wanted: DataFrame, nodes: DataFrame, packed: DataFrame, size) -> DataFrame:
+    """node, text: one whole text of each wanted node."""
+    wanted = wanted.join(nodes.drop("registers"), "node")
     found = wanted.join(packed.select("id_", "text_"), F.col("id").eqNullSafe(F.col("id_")))
 
     def same_set(texts):  # an id may stand for several texts: only the one with the node's set counts
@@ -229,9 +218,48 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, packed: DataFrame, size) -> Da
 
     found = map_texts(found, same_set, [("n_", "long"), ("high_", "long"), ("low_", "long")], "text_", ["node", "n_shingles", "set_high", "set_low", "text_"])
     found = found.filter("n_ = n_shingles AND high_ = set_high AND low_ = set_low")
-    texts = stored(found.groupBy("node").agg(F.any_value("text_").alias("text")))
-    both = pairs.select("a", "b").join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_overlaps(size), "a long, b long, both long, either long")
+    return stored(found.groupBy("node").agg(F.any_value("text_").alias("text")))
+
+
+def _near_in_blocks(size, threshold):
+    """Links between the open sets and the other sets of a block: sizes and distances to the centre must allow one, then the
+    registers' estimate, then the full sets decide."""
+    percent = round(threshold * 100)
+
+    def solve(key, table):
+        table = table.combine_chunks()
+        column = {c: table[c].to_numpy() for c in ("centre", "x", "y", "node", "d", "part", "n_shingles")}
+        open_ = np.array(table["open"].to_pylist(), bool)
+        regs = np.frombuffer(b"".join(table["registers"].to_pylist()), "<u2").reshape(-1, BUCKETS)
+        texts = pa.array(table["text"].to_pylist(), pa.large_string())
+        owner, shingles = shingle_sets(texts, size)
+        _, codes = np.unique(shingles, return_inverse=True)
+        first = np.searchsorted(owner, np.arange(len(texts) + 1))
+        order = np.lexsort((column["y"], column["x"], column["centre"]))
+        same = np.stack([column[c][order] for c in ("centre", "x", "y")])
+        cut = np.flatnonzero(np.append(True, (same[:, 1:] != same[:, :-1]).any(0)))
+        a, b, seen = [], [], np.zeros(int(codes.max()) + 1, bool)
+        for low, high in zip(cut, np.append(cut[1:], len(order))):
+            rows = order[low:high]
+            xs, ys = rows[~open_[rows]], rows[open_[rows]]
+            for y in ys:
+                n, few = column["n_shingles"][xs], column["n_shingles"][y]
+                fits = (column["part"][xs] != column["part"][y]) & (np.abs(column["d"][xs] - column["d"][y]) <= 1 - threshold + 1e-9)
+                near = xs[fits & (100 * np.minimum(n, few) >= percent * np.maximum(n, few))]
+                if len(near):
+                    spread = np.sqrt(threshold * (1 - threshold) / np.minimum(np.minimum(column["n_shingles"][near], few), BUCKETS))
+                    near = near[estimate(regs[near], regs[y]) >= threshold - 6 * spread]
+                if not len(near):
+                    continue
+                seen[codes[first[y]:first[y + 1]]] = True
+                both = np.array([np.count_nonzero(seen[codes[first[x]:first[x + 1]]]) for x in near])
+                seen[codes[first[y]:first[y + 1]]] = False
+                hit = near[100 * both >= percent * (column["n_shingles"][near] + few - both)]
+                a += [int(column["node"][y])] * len(hit)
+                b += column["node"][hit].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return solve
 
 
 def _overlaps(size):

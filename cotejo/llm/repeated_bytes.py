@@ -422,7 +422,7 @@ def repeated(documents: DataFrame, length=LENGTH, gram=GRAM, doc_id="doc_id", te
     docs = documents.select(F.struct(*[documents[c] for c in names]).alias("row_"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("id_"), F.xxhash64(F.col(doc_id), body).alias("key_"), body.alias("text_"))
     slim = docs.select("id_", "key_", "text_")
     count, size = documents.select(F.count("*"), F.sum(F.octet_length(text))).first()
-    buckets = max(8, -(-(size or 0) // BUCKET_BYTES))
+    buckets = max(64, -(-(size or 0) // BUCKET_BYTES))
     hot = _hot(slim, min(1.0, SAMPLE / max(count, 1)), length, gram)
     slim_wide = slim.filter(F.octet_length("text_") >= length)
     told = slim_wide.mapInArrow(_anchors_out(hot, buckets, length, gram), _DEALT).groupBy("bucket").applyInArrow(_anchors_in, _TOLD)
