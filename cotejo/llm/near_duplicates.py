@@ -31,7 +31,7 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 THRESHOLD = 0.8
 SHINGLE = 5
-BLOCK = 256
+BLOCK = 1024
 _LENDERS = 4096
 
 
