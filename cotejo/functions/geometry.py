@@ -217,4 +217,4 @@ def polygon_overlap(xy_tol=1e-9, area_tol=1e-9):
         touches = _boundaries_meet(left, right, area == 0, xy_tol)
         return pd.DataFrame({"area": area, "touches": touches})
 
-    return measure
+    return measure.asNondeterministic()  # else a filter on the result is pushed below the spread and runs it twice

@@ -94,8 +94,8 @@ def task_report(tasks: DataFrame, mail: DataFrame) -> DataFrame:
 
 
 def by_date(df: DataFrame, date="FECHA") -> DataFrame:
-    """By date, rows without one last."""
-    return df.orderBy(F.col(date).asc_nulls_last())
+    """By date, rows without one last. The other columns break ties, so that a busy day is split between tasks."""
+    return df.orderBy(F.col(date).asc_nulls_last(), *[c for c in df.columns if c != date])
 
 
 def report_name(user: str, year: int, month: int) -> str:
@@ -147,7 +147,8 @@ def consolidate(sheets, user: str, drop=("CONSECUTIVO",), trim_user=True) -> Dat
     df = sheets[0]
     for other in sheets[1:]:
         df = df.unionByName(other, allowMissingColumns=True)
-    df = S.upper_headers(df.dropna("all"))
+    data = [c for c in df.columns if not c.startswith("_") and c.lower() != "row_seq"]  # not what the reader adds
+    df = S.upper_headers(df.dropna("all", subset=data) if data else df)
     require_columns(df.columns, ["USUARIO"], "consolidated sheet")
     df = df.where(same_user("USUARIO", user, trim=trim_user)).drop(*drop)
     if "FECHA" in df.columns:

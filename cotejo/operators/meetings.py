@@ -14,7 +14,7 @@ EVENTS_SHOWN = 20
 
 def held_meetings(meetings: DataFrame, year: int, month: int) -> DataFrame:
     """Detail rows of the month's meetings, in order of their start."""
-    rows = meetings.where(in_month("start", year, month) & is_held_meeting()).orderBy("start")
+    rows = meetings.where(in_month("start", year, month) & is_held_meeting()).orderBy("start", "end", "subject", "organizer")
     return rows.select(
         F.to_date("start").alias("FECHA"), clock("start").alias("HORA_INICIO"), clock("end").alias("HORA_FIN"),
         hours("duration_min").alias("DURACION_HORAS"), F.col("subject").alias("ASUNTO"),

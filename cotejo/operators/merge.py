@@ -52,15 +52,18 @@ def compare(source: DataFrame, target: DataFrame, key="EXPEDIENTE", on_duplicate
 
 
 def merged(compared: DataFrame) -> DataFrame:
-    """B with A's raw value in every differing cell, and a flag per row."""
+    """B with A's raw value in every differing cell, and a flag per row. A column whose types differ comes out as text."""
     out = []
     for c in compared.columns:
         if c in (_IN_SOURCE, _CHANGED) or c.startswith(_SOURCE):
             continue
         if _SOURCE + c in compared.columns:
             take = F.coalesce(F.array_contains(_CHANGED, c), F.lit(False))
-            new = F.col(_SOURCE + c).try_cast(compared.schema[c].dataType)
-            out.append(F.when(take, new).otherwise(F.col(c)).alias(c))
+            raw, kind = F.col(_SOURCE + c), compared.schema[c].dataType
+            if compared.schema[_SOURCE + c].dataType != kind:
+                out.append(F.when(take, raw.cast("string")).otherwise(F.col(c).cast("string")).alias(c))  # nothing is lost
+            else:
+                out.append(F.when(take, raw).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     flag = F.when(F.col(_CHANGED).isNull(), ABSENT).when(F.size(_CHANGED) > 0, UPDATED).otherwise(SAME)

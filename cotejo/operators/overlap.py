@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cotejo.functions import predicates as P
-from cotejo.functions.geometry import box_area, box_overlap_area, boxes_meet, polygon_overlap
+from cotejo.functions.geometry import box_area, box_overlap_area, boxes_meet, polygon_area, polygon_overlap
 from cotejo.functions.text import status_label, strip
 from cotejo.operators.keyed import lookup_join, one_per_key
 
 OVERLAPS, TOUCHES = "TRASLAPA", "TOCA"
+_FINEST = -30  # level of boxes without extent, and of those a billion times smaller than the unit
 BOX = ("xmin", "ymin", "xmax", "ymax")
 RING = ("xs", "ys", "ring_sizes")
 RESULT = ("EXPEDIENTE_BASE", "EXPEDIENTE", "ESTADO", "TIPO", "AREA_TRASLAPE", "PORCENTAJE_TRASLAPE")
@@ -27,7 +28,7 @@ def _level(cell):
     level = F.ceil(F.log2(extent / cell)).cast("int")
     # Rounding in the logarithm may leave the cell a trifle too small.
     level = F.when(F.pow(F.lit(2.0), level) * cell < extent, level + 1).otherwise(level)
-    return F.when(extent > cell, level).otherwise(F.lit(0))
+    return F.when(extent > 0, F.greatest(level, F.lit(_FINEST))).otherwise(F.lit(_FINEST))
 
 
 def _size(level, cell):
@@ -88,8 +89,9 @@ def first_polygons(parcels: DataFrame, ids: DataFrame, id_col="EXPEDIENTE") -> D
 
 def subject_problems(parcels: DataFrame, ids: DataFrame, shape="box", id_col="EXPEDIENTE") -> DataFrame:
     """Wanted ids that cannot be analysed: no parcel, or a first parcel without area."""
+    parcels, ids = (df.withColumn(id_col, strip(id_col)) for df in (parcels, ids))
     wanted = ids.select(id_col).distinct()
-    rows = lookup_join(_with_area(parcels), wanted, id_col, "left_semi")
+    rows = lookup_join(_with_area(parcels, shape), wanted, id_col, "left_semi")
     area = F.when(_has_shape(shape), F.struct("oid", "area"))
     firsts = rows.groupBy(id_col).agg(F.min(area)["area"].alias("_area"), F.lit(True).alias("_found"))
     problem = F.when(F.col("_found").isNull(), "EXPEDIENTE_NO_ENCONTRADO").when(
@@ -110,15 +112,16 @@ def _measured(pairs, subjects, parcels, shape, xy_tol, area_tol):
     pairs = pairs.repartition("s_oid", "p_oid")
     measure = polygon_overlap(xy_tol, area_tol)
     out = pairs.withColumn("_m", measure(*[F.col(side + c) for side in ("s_", "p_") for c in RING]))
-    out = out.where((F.col("_m.area") > 0) | F.col("_m.touches"))
-    # The clipping's last digits are noise; without them a tie rounds as the exact area would.
-    return out.withColumn("shared", F.round("_m.area", 6))
+    return out.where((F.col("_m.area") > 0) | F.col("_m.touches")).withColumn("shared", F.col("_m.area"))
 
 
 def _report(subjects, parcels, shape, cell, xy_tol, area_tol, only_area=False):
     """Measured pairs with ids and status. ``parcels`` holds oid, id, status and shape; ``subjects`` also area."""
     subjects = subjects.where(F.col("area") > 0)
-    pairs = candidate_pairs(subjects, parcels, cell, ("id", "area"), ("id", "status"))
+    near = subjects
+    if shape == "ring":  # what lies within the tolerance is a candidate too
+        near = subjects.withColumns({c: F.col(c) + (xy_tol if c.endswith("max") else -xy_tol) for c in BOX})
+    pairs = candidate_pairs(near, parcels, cell, ("id", "area"), ("id", "status"))
     # The parcel itself and other parcels of the same id are not compared.
     pairs = pairs.where(~F.col("p_id").eqNullSafe(F.col("s_id")))
     pairs = _measured(pairs, subjects, parcels, shape, xy_tol, area_tol)
@@ -127,24 +130,31 @@ def _report(subjects, parcels, shape, cell, xy_tol, area_tol, only_area=False):
     return pairs.select(
         F.col("s_id").alias("EXPEDIENTE_BASE"), F.col("p_id").alias("EXPEDIENTE"), F.col("p_status").alias("ESTADO"),
         F.when(F.col("shared") > 0, OVERLAPS).otherwise(TOUCHES).alias("TIPO"),
-        F.round("shared", 2).alias("AREA_TRASLAPE"),
-        F.round(F.col("shared") / F.col("s_area") * 100, 2).alias("PORCENTAJE_TRASLAPE"),
+        _shown("shared", shape).alias("AREA_TRASLAPE"),
+        _shown(F.col("shared") / F.col("s_area") * 100, shape).alias("PORCENTAJE_TRASLAPE"),
         F.col("p_oid").alias("oid"),
     )
 
 
+def _shown(value, shape):
+    """Two decimals. The last digits of clipped polygons are noise; without them a tie rounds as the exact value would."""
+    return F.round(F.round(value, 8) if shape == "ring" else value, 2)
+
+
 def _has_shape(shape):
     test = F.col(BOX[0]).isNotNull()
     return test & F.col(RING[0]).isNotNull() if shape == "ring" else test
 
 
-def _with_area(df):
-    return df if "area" in df.columns else df.withColumn("area", box_area())
+def _with_area(df, shape):
+    if "area" in df.columns:
+        return df
+    return df.withColumn("area", polygon_area(*[F.col(c) for c in RING]) if shape == "ring" else box_area())
 
 
 def _shaped(df, shape):
     """Parcels that have a geometry, with their area."""
-    return _with_area(df).where(_has_shape(shape))
+    return _with_area(df, shape).where(_has_shape(shape))
 
 
 def _shape_columns(shape):
@@ -155,8 +165,8 @@ def overlaps(parcels, ids, status="ESTADO", shape="box", cell=1.0, xy_tol=1e-9,
     """Overlaps and contacts of the wanted ids. Ids and statuses are trimmed; closed and unlocated parcels skipped.
 
     ``parcels`` needs ``oid``, the id, the status and the shape: a box (``shape="box"``: parcels are upright
-    rectangles) or also rings with an ``area`` column (``shape="ring"``). ``cell`` is the finest grid size, about
-    the extent of a small parcel.
+    rectangles) or also rings (``shape="ring"``). ``cell`` is the grid's unit; levels below and above it follow the parcels'
+    extents.
     """
     rows = _shaped(parcels, shape).withColumn("id", F.coalesce(strip(id_col), F.lit("")))
     wanted = ids.select(F.coalesce(strip(id_col), F.lit("")).alias("id"))

@@ -71,9 +71,26 @@ def _staged(winners, pairs):
     )
 
 
+def _fitting(raw, old, kind):
+    """The staged value in the target's type; the old value stays where a staged one does not fit."""
+    value = raw.try_cast(kind)
+    return F.when(raw.isNotNull() & value.isNull(), old).otherwise(value)
+
+
+def values_not_valid(target: DataFrame, winners: DataFrame, row_id="oid") -> DataFrame:
+    """EXPEDIENTE_KEY, CAMPO, VALOR: staged values that do not fit their target column and so were not taken over."""
+    types = {f.name: f.dataType for f in target.schema.fields}
+    cells = [
+        F.when(F.col(s).isNotNull() & F.col(s).try_cast(types[t]).isNull(), F.struct(F.lit(t).alias("CAMPO"), F.col(s).cast("string").alias("VALOR")))
+        for t, s in S.transfer_pairs(target, winners, row_id)
+    ]
+    wrong = F.array_compact(F.array(*cells)) if cells else F.array().cast("array<struct<CAMPO:string,VALOR:string>>")
+    return winners.select(S.KEY, F.inline(wrong))
+
+
 def _changes(target, pairs, types):
     """(new value per target column, whether any differs); text and numbers compare in the target's type."""
-    new = {t: F.col(_STAGED + s).try_cast(types[t]) for t, s in pairs}
+    new = {t: _fitting(F.col(_STAGED + s), F.col(t), types[t]) for t, s in pairs}
     differs = F.lit(False)
     for t, value in new.items():
         differs = differs | ~value.eqNullSafe(F.col(t))

@@ -2,15 +2,25 @@
 
 from pyspark.sql import DataFrame
 
-from cotejo.errors import RegistryError
+from cotejo.errors import RegistryError, require_columns
 from cotejo.operators import overlap as O
+from cotejo.operators.schema import find_qualified
 from cotejo.sources.durable import stored
 from cotejo.sources.reports import run_stamp, write_lines, write_report
 
+# The names the id column may have, best first.
+ID_NAMES = ("EXPEDIENTE", "EXPEDIEN_1", "ID")
+
 
 def report_overlaps(parcels: DataFrame, ids: DataFrame, out_dir: str, run_ts, **options) -> DataFrame:
     """Write the text report of the wanted ids and the ids that could not be analysed; returns the overlaps."""
-    shape, id_col = options.get("shape", "box"), options.get("id_col", "EXPEDIENTE")
+    shape = options.get("shape", "box")
+    id_col = options["id_col"] if "id_col" in options else find_qualified(parcels, ID_NAMES) or ID_NAMES[0]
+    if id_col not in ids.columns:
+        own = find_qualified(ids, ID_NAMES)
+        require_columns(ids.columns, [id_col] if own is None else [own], "wanted ids")
+        ids = ids.withColumnRenamed(own, id_col)
+    options["id_col"] = id_col
     found = stored(O.overlaps(parcels, ids, **options))
     folder = f"{out_dir.rstrip('/')}/Reporte_Traslapes_{run_stamp(run_ts)}"
     write_lines(O.report_lines(found, O.analysed_subjects(parcels, ids, shape, id_col)), f"{folder}/LINEAS")

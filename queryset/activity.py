@@ -6,7 +6,6 @@ from cotejo.functions import dates as D
 from cotejo.functions import text as X
 from cotejo.operators import activity as A
 from cotejo.operators import meetings as M
-from cotejo.sources.files import files_by_suffix, list_files
 from queryset.catalog import ascii_sql, blank_sql, fold_sql, query, squeeze_sql, strip_sql, text_sql
 from queryset.views import spark_view, with_views
 
@@ -218,12 +217,6 @@ def document_names_to_review(spark, sf_dir):
     return A.names_to_review(_documents(spark, sf_dir))
 
 
-@query()
-def table_files_by_suffix(spark, sf_dir):
-    """A listing of the input folder itself."""
-    return files_by_suffix(list_files(spark, sf_dir))
-
-
 # Meetings
 
 _HELD = (

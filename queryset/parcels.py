@@ -136,8 +136,8 @@ def overlap_report_lines(spark, sf_dir):
     with_views(
         "SELECT EXPEDIENTE, CASE WHEN n = 0 THEN 'EXPEDIENTE_NO_ENCONTRADO' ELSE 'AREA_CERO' END AS PROBLEMA FROM ("
         f"SELECT w.EXPEDIENTE, count(p.oid) AS n, coalesce(arg_min({_AREA}, p.oid) FILTER (p.xmin IS NOT NULL), 0) AS a "
-        "FROM (SELECT DISTINCT EXPEDIENTE FROM target_attr UNION SELECT EXPEDIENTE FROM target_base) w "
-        "LEFT JOIN target_base p ON p.EXPEDIENTE = w.EXPEDIENTE GROUP BY 1) WHERE n = 0 OR a = 0",
+        f"FROM (SELECT {strip_sql('EXPEDIENTE')} AS EXPEDIENTE FROM target_attr UNION SELECT {strip_sql('EXPEDIENTE')} FROM target_base) w "
+        f"LEFT JOIN (SELECT * REPLACE ({strip_sql('EXPEDIENTE')} AS EXPEDIENTE) FROM target_base) p ON p.EXPEDIENTE = w.EXPEDIENTE GROUP BY 1) WHERE n = 0 OR a = 0",
         "target_attr", "target_base",
     )
 )

@@ -434,3 +434,17 @@ def sheet_audit_summary(spark, sf_dir):
 def staged_status_counts(spark, sf_dir):
     stage = spark_view(spark, sf_dir, "stage_reg")
     return stage.groupBy(fold_key("ESTADO").alias("ESTADO_CLAVE")).agg(F.count("*").alias("CANTIDAD"))
+
+
+@query(
+    "SELECT CAST(o_orderkey AS VARCHAR) AS EXPEDIENTE_KEY, 'AREA' AS CAMPO, 'ca. ' || CAST(o_orderkey AS VARCHAR) || ' ha' AS VALOR "
+    "FROM orders WHERE o_orderkey % 7 = 0"
+)
+def values_not_valid(spark, sf_dir):
+    """Staged texts that do not fit a number column of the target."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    key, number = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("double")
+    text = F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("ca. "), key, F.lit(" ha"))).otherwise(number.cast("string"))
+    winners = orders.select(key.alias("EXPEDIENTE_KEY"), F.col("o_orderkey").alias("row_seq"), text.alias("AREA"))
+    target = orders.select(F.col("o_orderkey").alias("oid"), key.alias("EXPEDIENTE_KEY"), number.alias("AREA"))
+    return R.values_not_valid(target, winners)
