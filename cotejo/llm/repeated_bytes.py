@@ -109,10 +109,10 @@ class Rows:
     """Rows of the transform in suffix order: symbol before the suffix, common prefix with the row above, and the suffix
     itself (segment << 16 | length). Large ones are files of the task's own folder, written and read front to back."""
 
-    def __init__(self, size, folder):
-        make = (lambda kind: np.empty(size, kind)) if size * 12 < FILE_BYTES else (
+    def __init__(self, size, folder, common, suffix):
+        make = (lambda kind: np.empty(size, kind)) if size * 6 < FILE_BYTES else (
             lambda kind: np.memmap(tempfile.TemporaryFile(dir=folder), kind, "w+", shape=(size,)))
-        self.before, self.common, self.suffix = make(np.uint16), make(np.uint16), make(np.int64)
+        self.before, self.common, self.suffix = make(np.uint8), make(common), make(suffix)
 
 
 def transform(columns, sizes, limit, folder=None):
@@ -141,11 +141,12 @@ def transform(columns, sizes, limit, folder=None):
             open_ = open_[equal]
             if not len(open_):
                 break
-        return np.minimum(np.minimum(out, limit), np.minimum(a & 65535, b & 65535)).astype(np.uint16)
+        return np.minimum(np.minimum(out, limit), np.minimum(a & 65535, b & 65535))
 
-    rows = Rows(count, folder)
-    # symbols are bytes plus one; zero stands before a whole segment
-    rows.before[:], rows.common[:], rows.suffix[:] = columns[:, -1].astype(np.uint16) + 1, 0, np.arange(count) << 16
+    # symbols are bytes plus one (UTF-8 has no byte 255); zero stands before a whole segment
+    kinds = (np.uint8 if limit < 256 else np.uint16, np.int32 if count < 1 << 15 else np.int64)
+    rows = Rows(count, folder, *kinds)
+    rows.before[:], rows.common[:], rows.suffix[:] = columns[:, -1] + np.uint8(1), 0, np.arange(count) << 16
     place, live = np.arange(count), np.arange(count)
     for done in range(1, width + 1):
         going = sizes[live] >= done
@@ -162,14 +163,14 @@ def transform(columns, sizes, limit, folder=None):
         total = len(order) + len(live)
         old = np.ones(total, bool)
         old[at] = False
-        grown = Rows(total, folder)
+        grown = Rows(total, folder, *kinds)
         last = sizes[who] == done
-        grown.before[at] = np.where(last, 0, columns[who, width - 1 - np.minimum(done, width - 1)].astype(np.uint16) + 1)
+        grown.before[at] = np.where(last, 0, columns[who, width - 1 - min(done, width - 1)] + np.uint8(1))
         grown.suffix[at] = (who << 16) | done
         grown.before[old], grown.common[old], grown.suffix[old] = rows.before, rows.common, rows.suffix
         near = np.unique(np.concatenate([at, at[at + 1 < total] + 1]))
         near = near[near > 0]
-        grown.common[near] = shared(np.asarray(grown.suffix[near - 1]), np.asarray(grown.suffix[near]))
+        grown.common[near] = shared(grown.suffix[near - 1].astype(np.int64), grown.suffix[near].astype(np.int64))
         rows = grown
     return rows
 
@@ -184,7 +185,7 @@ def repeated_windows(texts, length=LENGTH):
     columns[row, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - width, sizes)] = flat
     with tempfile.TemporaryDirectory() as folder:
         rows = transform(columns, sizes, length, folder)
-        suffix, common = np.asarray(rows.suffix), np.asarray(rows.common)
+        suffix, common = rows.suffix.astype(np.int64), np.asarray(rows.common)
         whole = (suffix & 65535) >= length
         suffix, same = suffix[whole], (common[whole] >= length)
         del rows
