@@ -40,6 +40,9 @@ BATCH = 16_384
 BUCKET_BYTES = 20 << 20
 FILE_BYTES = 256 << 20
 _LAST = np.iinfo(np.int64).max
+_STEP = 256  # rows of a block of the transform; fewer than 256 matches above a place keep their count in one byte
+_KEYS = np.arange(_STEP * 256) // _STEP
+_ABOVE = np.tri(_STEP, k=-1, dtype=bool)
 
 
 # ---- anchors ----------------------------------------------------------------------------------------------------------
@@ -112,7 +115,36 @@ class Rows:
     def __init__(self, size, folder, common, suffix):
         make = (lambda kind: np.empty(size, kind)) if size * 6 < FILE_BYTES else (
             lambda kind: np.memmap(tempfile.TemporaryFile(dir=folder), kind, "w+", shape=(size,)))
-        self.before, self.common, self.suffix = make(np.uint8), make(common), make(suffix)
+        self.common, self.suffix = make(common), make(suffix)
+        size = -(-size // _STEP) * _STEP  # whole blocks; what lies past the last row is never counted
+        self.blocks = make(np.uint8).reshape(-1, _STEP)
+        self.before = self.blocks.reshape(-1)[:len(self.common)]
+
+    def stepped(self, kinds):
+        """Row of the grown transform each row's symbol leads to (last-to-first step), as a function of places.
+
+        It counts the rows with a smaller symbol, and those above with the same one: per block by a histogram of all
+        rows, inside the place's own block by comparing its bytes."""
+        counts = np.zeros((len(self.blocks) + 1, kinds), np.int64)
+        for low in range(0, len(self.before), len(_KEYS)):
+            part = self.before[low:low + len(_KEYS)]
+            n = -(-len(part) // _STEP)
+            key = _KEYS[:len(part)] * kinds + part
+            counts[low // _STEP + 1:low // _STEP + 1 + n] = np.bincount(key, minlength=n * kinds).reshape(n, kinds)
+        np.cumsum(counts, axis=0, out=counts)
+        smaller = np.append(0, np.cumsum(counts[-1])[:-1])
+
+        def to(place):
+            symbol, out = self.before[place], np.empty(len(place), np.int64)
+            for low in range(0, len(place), _STEP * 4):
+                at, kind = place[low:low + _STEP * 4], symbol[low:low + _STEP * 4]
+                same = (self.blocks[at // _STEP] == kind[:, None]) & _ABOVE[at % _STEP]
+                eights = same.view(np.uint64).sum(axis=1)  # up to 32 in each of its bytes
+                inside = (eights * np.uint64(0x0101010101010101)) >> np.uint64(56)
+                out[low:low + len(at)] = smaller[kind] + counts[at // _STEP, kind] + inside.astype(np.int64)
+            return out
+
+        return to, int(counts[-1, 0])
 
 
 def transform(columns, sizes, limit, folder=None):
@@ -123,17 +155,16 @@ def transform(columns, sizes, limit, folder=None):
     count, width = columns.shape
     wide = np.zeros((count, width + limit + 8), np.uint8)
     wide[:, :width] = columns
-    words = np.lib.stride_tricks.sliding_window_view(wide, 8, axis=1)
+    span = width + limit + 8
+    words = np.ndarray(wide.size - 7, "<u8", wide, strides=(1,))  # the eight bytes from each place on
 
     def shared(a, b):
         """Common prefix of two suffixes, cut at the limit and at both lengths."""
         out = np.zeros(len(a), np.int64)
         open_ = np.arange(len(a))
-        ra, rb, at_a, at_b = a >> 16, b >> 16, width - (a & 65535), width - (b & 65535)
+        at_a, at_b = ((x >> 16) * span + width - (x & 65535) for x in (a, b))
         for step in range(0, limit, 8):
-            x = np.ascontiguousarray(words[ra[open_], at_a[open_] + step]).view("<u8").ravel()
-            y = np.ascontiguousarray(words[rb[open_], at_b[open_] + step]).view("<u8").ravel()
-            differ = x ^ y
+            differ = words[at_a[open_] + step] ^ words[at_b[open_] + step]
             equal = differ == 0
             low = differ & (~differ + np.uint64(1))  # lowest bit that differs
             out[open_[~equal]] = step + (np.log2(low[~equal].astype(np.float64)).astype(np.int64) >> 3)
@@ -143,33 +174,34 @@ def transform(columns, sizes, limit, folder=None):
                 break
         return np.minimum(np.minimum(out, limit), np.minimum(a & 65535, b & 65535))
 
-    # symbols are bytes plus one (UTF-8 has no byte 255); zero stands before a whole segment
+    # symbols are the bytes in use, numbered in order from one (UTF-8 has no byte 255); zero stands before a whole segment
+    used = np.bincount(columns.ravel(), minlength=256) > 0
+    symbols = np.cumsum(used).astype(np.uint8)[columns]
+    alphabet = int(used.sum()) + 1
     kinds = (np.uint8 if limit < 256 else np.uint16, np.int32 if count < 1 << 15 else np.int64)
     rows = Rows(count, folder, *kinds)
-    rows.before[:], rows.common[:], rows.suffix[:] = columns[:, -1] + np.uint8(1), 0, np.arange(count) << 16
+    rows.before[:], rows.common[:], rows.suffix[:] = symbols[:, -1], 0, np.arange(count) << 16
     place, live = np.arange(count), np.arange(count)
     for done in range(1, width + 1):
         going = sizes[live] >= done
-        # last-to-first: rows whose suffix starts with a smaller symbol, then those with the same one above
-        order = np.argsort(rows.before, kind="stable")
-        ends = len(order) - int(np.count_nonzero(rows.before))  # whole segments have no symbol before them
-        turn = np.empty(len(order), np.int64)
-        turn[order] = np.arange(len(order))
-        place, live = turn[place[going]] - ends + count, live[going]
+        to, ends = rows.stepped(alphabet)  # whole segments have no symbol before them: they lead nowhere
+        place, live = to(place[going]) - ends + count, live[going]
         if not len(live):
             break
         sort = np.argsort(place, kind="stable")
         at, who = place[sort], live[sort]
-        total = len(order) + len(live)
+        total = len(rows.before) + len(live)
         old = np.ones(total, bool)
         old[at] = False
         grown = Rows(total, folder, *kinds)
         last = sizes[who] == done
-        grown.before[at] = np.where(last, 0, columns[who, width - 1 - min(done, width - 1)] + np.uint8(1))
+        grown.before[at] = np.where(last, 0, symbols[who, width - 1 - min(done, width - 1)])
         grown.suffix[at] = (who << 16) | done
         grown.before[old], grown.common[old], grown.suffix[old] = rows.before, rows.common, rows.suffix
-        near = np.unique(np.concatenate([at, at[at + 1 < total] + 1]))
-        near = near[near > 0]
+        fresh = ~old
+        fresh[1:] |= ~old[:-1]
+        fresh[0] = False
+        near = np.flatnonzero(fresh)
         grown.common[near] = shared(grown.suffix[near - 1].astype(np.int64), grown.suffix[near].astype(np.int64))
         rows = grown
     return rows
