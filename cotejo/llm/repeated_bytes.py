@@ -204,6 +204,7 @@ def transform(columns, sizes, limit, folder=None):
         near = np.flatnonzero(fresh)
         grown.common[near] = shared(grown.suffix[near - 1].astype(np.int64), grown.suffix[near].astype(np.int64))
         rows = grown
+    rows.before[:] = np.append(0, np.flatnonzero(used) + 1).astype(np.uint8)[rows.before]  # bytes plus one
     return rows
 
 
