@@ -1,11 +1,12 @@
 """Text normalisation as native column expressions (no Python per row).
 
 Python's Unicode folds are reproduced with ``translate`` tables generated from ``unicodedata``. The tables cover
-the basic plane without Hangul syllables, surrogates and private use; characters outside pass through unchanged.
+every assigned character; private use passes through unchanged.
 """
 
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,9 +43,7 @@ def _fold_table(form, dropped):
         "non_ascii": lambda ch: ord(ch) > 0x7F,
     }[dropped]
     single, removed, expansions = {}, [], {}
-    for cp in range(0x80, 0x10000):
-        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xF8FF:
-            continue
+    for cp in chain(range(0x80, 0xD800), range(0xF900, 0x32000), range(0xE0000, 0xE1000)):
         ch = chr(cp)
         kept = "".join(x for x in unicodedata.normalize(form, ch) if not drop(x))
         if kept == ch:

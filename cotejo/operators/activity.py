@@ -84,13 +84,15 @@ def mail_without_task(tasks: DataFrame, mail: DataFrame) -> DataFrame:
 
 
 def tasks_without_mail_sheet(tasks: DataFrame) -> DataFrame:
-    """With an empty mail sheet the recipients are blank text, not null."""
+    """Without a mail sheet the recipients are blank text, not null."""
     return tasks.select(*TASK_COLUMNS, F.lit("").alias("DESTINATARIOS"))
 
 
 def task_report(tasks: DataFrame, mail: DataFrame) -> DataFrame:
-    joined = tasks_without_mail_sheet(tasks) if mail.isEmpty() else tasks_with_mail(tasks, mail)
-    return by_date(joined)
+    """Tasks and mail by date; whether the mail sheet is empty is found out inside the plan."""
+    empty = mail.limit(1).agg(F.count("*") == 0).scalar()
+    joined = tasks_with_mail(tasks, mail)
+    return by_date(joined.withColumn("DESTINATARIOS", F.when(empty, F.lit("")).otherwise(F.col("DESTINATARIOS"))))
 
 
 def by_date(df: DataFrame, date="FECHA") -> DataFrame:

@@ -115,8 +115,11 @@ def _measured(pairs, subjects, parcels, shape, xy_tol, area_tol):
     return out.where((F.col("_m.area") > 0) | F.col("_m.touches")).withColumn("shared", F.col("_m.area"))
 
 
-def _report(subjects, parcels, shape, cell, xy_tol, area_tol, only_area=False):
-    """Measured pairs with ids and status. ``parcels`` holds oid, id, status and shape; ``subjects`` also area."""
+def _report(subjects, parcels, shape, cell, xy_tol, area_tol, only_area=False, only_earlier=False):
+    """Measured pairs with ids and status. ``parcels`` holds oid, id, status and shape; ``subjects`` also area.
+
+    With ``only_earlier`` both are one batch, and a parcel is compared with those of smaller oid.
+    """
     subjects = subjects.where(F.col("area") > 0)
     near = subjects
     if shape == "ring":  # what lies within the tolerance is a candidate too
@@ -124,6 +127,8 @@ def _report(subjects, parcels, shape, cell, xy_tol, area_tol, only_area=False):
     pairs = candidate_pairs(near, parcels, cell, ("id", "area"), ("id", "status"))
     # The parcel itself and other parcels of the same id are not compared.
     pairs = pairs.where(~F.col("p_id").eqNullSafe(F.col("s_id")))
+    if only_earlier:
+        pairs = pairs.where(F.col("p_oid") < F.col("s_oid"))
     pairs = _measured(pairs, subjects, parcels, shape, xy_tol, area_tol)
     if only_area:
         pairs = pairs.where(F.col("shared") > 0)
@@ -196,7 +201,10 @@ def overlaps_of_new(
     new_parcels, parcels, attributes, status="ESTADO", shape="box", cell=1.0, xy_tol=1e-9, area_tol=1e-9,
     id_col="EXPEDIENTE",
 ):
-    """Overlaps with area of newly added parcels. Status by exact id: NO_DEFINIDO without an attribute row."""
+    """Overlaps with area of newly added parcels, with what is there and with the new ones before them (smaller oid).
+
+    Status by exact id: NO_DEFINIDO without an attribute row.
+    """
     columns = ("oid", "id", *_shape_columns(shape))
     states = one_per_key(
         attributes.where(F.coalesce(F.col(id_col) != "", F.lit(False))).select(
@@ -204,13 +212,19 @@ def overlaps_of_new(
         ),
         "id", F.desc("oid"),
     ).drop("oid")
-    rows = _shaped(parcels, shape).withColumn("id", F.col(id_col)).select(*columns)
-    joined = lookup_join(rows, states, "id").withColumn(
-        "status", F.when(F.col("_hit").isNull(), "NO_DEFINIDO").otherwise(F.col("status"))
-    )
-    kept = joined.where(P.status_overlap_exact("status")).drop("_hit")
+
+    def kept(df):
+        rows = _shaped(df, shape).withColumn("id", F.col(id_col)).select(*columns)
+        joined = lookup_join(rows, states, "id").withColumn(
+            "status", F.when(F.col("_hit").isNull(), "NO_DEFINIDO").otherwise(F.col("status"))
+        )
+        return joined.where(P.status_overlap_exact("status")).drop("_hit")
+
     subjects = _shaped(new_parcels, shape).withColumn("id", F.col(id_col)).select(*columns, "area")
-    found = _report(subjects, kept, shape, cell, xy_tol, area_tol, only_area=True)
+    sizes = (shape, cell, xy_tol, area_tol)
+    found = _report(subjects, kept(parcels), *sizes, only_area=True).unionByName(
+        _report(subjects, kept(new_parcels), *sizes, only_area=True, only_earlier=True)
+    )
     return found.select(
         F.col("EXPEDIENTE_BASE").alias("EXPEDIENTE_NUEVO"), "EXPEDIENTE", "ESTADO", "AREA_TRASLAPE",
         "PORCENTAJE_TRASLAPE", "oid",

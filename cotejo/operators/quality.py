@@ -12,15 +12,14 @@ PROBLEM_COLUMNS = ("EXPEDIENTE", "EXPEDIENTE_KEY", "TIPO_PROBLEMA", "DETALLE")
 LOG_COLUMNS = ("TIMESTAMP", "ACCION", "TABLA", "EXPEDIENTE_KEY", "DETALLE")
 
 
+def repeated_keys(stage: DataFrame) -> DataFrame:
+    """Keys staged more than once with their count, in no order; blank keys do not count."""
+    return stage.where(F.col(KEY) != "").groupBy(KEY).agg(F.count("*").alias("CANTIDAD")).where("CANTIDAD > 1")
+
+
 def duplicate_keys(stage: DataFrame) -> DataFrame:
-    """Keys staged more than once with their count; blank keys do not count."""
-    return (
-        stage.where(F.col(KEY) != "")
-        .groupBy(KEY)
-        .agg(F.count("*").alias("CANTIDAD"))
-        .where("CANTIDAD > 1")
-        .orderBy(F.desc("CANTIDAD"), F.asc(KEY))
-    )
+    """The repeated keys, most frequent first."""
+    return repeated_keys(stage).orderBy(F.desc("CANTIDAD"), F.asc(KEY))
 
 
 def blank_status(stage: DataFrame, status) -> DataFrame:

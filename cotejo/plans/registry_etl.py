@@ -170,7 +170,7 @@ class RegistryRun:
         staged_status = F.coalesce(F.col("ESTADO_EXCEL"), F.lit("None"))
         lapsed = self.attr_rows.where(F.col("ACCION") == "SET_SIN_DATOS")
         parts = {
-            "DUPLICADO_ORIGEN": (self.duplicates(), nothing, key, F.format_string(MESSAGES["DUPLICADO_ORIGEN"], "CANTIDAD")),
+            "DUPLICADO_ORIGEN": (Q.repeated_keys(self.stage), nothing, key, F.format_string(MESSAGES["DUPLICADO_ORIGEN"], "CANTIDAD")),
             "ESTADO_VACIO": (self.blank_statuses(), F.col(S.CASE), key, F.lit(MESSAGES["ESTADO_VACIO"])),
             "LLAVE_VACIA": (Q.blank_keys(self.stage), F.col(case), nothing, F.lit(MESSAGES["LLAVE_VACIA"])),
             "NUEVO_ARCHIVADO": (
@@ -235,7 +235,7 @@ def gate_summary(stage, attr, info: RunInfo) -> DataFrame:
     facts = (
         keyed.agg(F.count("*").alias("TOTAL_ORIGEN"), F.count_if(F.col(S.KEY) == "").alias("SKIPS"))
         .withColumn("TOTAL_PREVIO", attr.agg(F.count("*")).scalar())
-        .withColumn("DUPLICADOS", Q.duplicate_keys(keyed).agg(F.count("*")).scalar())
+        .withColumn("DUPLICADOS", Q.repeated_keys(keyed).agg(F.count("*")).scalar())
     )
     return facts.select(
         F.lit(iso_second(info.run_ts)).alias("FECHA_EJECUCION"),

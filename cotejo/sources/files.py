@@ -1,22 +1,70 @@
 """File listings: names, times and sizes only, never the content."""
 
+import fnmatch
+import os
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotejo.errors import RegistryError
 from cotejo.functions.text import file_suffix
+from cotejo.session import ship_package
+from cotejo.sources.durable import stored
+
+_ENTRY = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64()), ("folder", pa.bool_())])
+
+
+def _located(folder):
+    """(file system, path in it, what precedes that path)."""
+    if "://" not in folder:
+        return fs.LocalFileSystem(), os.path.abspath(folder.removeprefix("file:")), ""
+    system, path = fs.FileSystem.from_uri(folder)
+    path = path.rstrip("/")
+    local = isinstance(system, fs.LocalFileSystem)
+    return system, path, "" if local else folder.rstrip("/").removesuffix(path)
+
+
+def _children(batches):
+    """Direct children of each folder; links to folders are not followed."""
+    for batch in batches:
+        for folder in batch.column(0).to_pylist():
+            system, path, before = _located(folder)
+            found = system.get_file_info(fs.FileSelector(path))
+            if isinstance(system, fs.LocalFileSystem):
+                found = [i for i in found if i.type != fs.FileType.Directory or not os.path.islink(i.path)]
+            for low in range(0, len(found), 10_000):
+                rows = [
+                    (before + i.path, i.mtime_ns and i.mtime_ns // 1000, i.size, i.type == fs.FileType.Directory)
+                    for i in found[low:low + 10_000]
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY.types)], schema=_ENTRY)
 
 
 def list_files(spark: SparkSession, folder: str, pattern=None, recursive=True) -> DataFrame:
-    """path, modificationTime, length of every file; the local-file scheme is dropped from the path.
+    """path, modificationTime, length of every file, hidden and empty ones too; local paths carry no scheme.
 
-    Spark's file sources leave out empty files and names that start with ``_`` or ``.``.
+    One round per level of folders, whose folders are listed side by side. ``pattern`` is a glob on the name.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    system, path, _ = _located(folder)
+    if system.get_file_info(path).type != fs.FileType.Directory:
+        raise RegistryError(f"no such folder: {folder}")
+    ship_package(spark)
+    level, files = spark.createDataFrame([(folder,)], "path string"), []
+    while True:
+        found = stored(level.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
+            _children, "path string, modificationTime timestamp, length long, folder boolean"))
+        files.append(found.where(~F.col("folder")).drop("folder"))
+        level = found.where("folder").select("path")
+        if not recursive or level.isEmpty():
+            break
+    out = files[0]
+    for more in files[1:]:
+        out = out.unionByName(more)
     if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(folder).select(
-        F.regexp_replace("path", "^file:/+", "/").alias("path"), "modificationTime", "length"
-    )
+        out = out.where(F.regexp_extract("path", r"(?s)([^/]*)$", 1).rlike(fnmatch.translate(pattern).replace(r"\Z", r"\z")))
+    return out
 
 
 def _named(files, name_rule):

@@ -8,11 +8,14 @@ from cotejo.errors import RegistryError
 from cotejo.sources.files import list_files
 
 
-def read_sheet(spark: SparkSession, path, fmt="csv", schema=None) -> DataFrame:
-    """One sheet, the header row as column names. CSV columns are text unless a schema is given."""
+def read_sheet(spark: SparkSession, path, fmt="csv", schema=None, line_breaks=True) -> DataFrame:
+    """One sheet, the header row as column names. CSV columns are text unless a schema is given.
+
+    Quoted cells may hold line breaks; ``line_breaks=False`` lets Spark split a large file whose cells have none.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", False)
+        reader = reader.option("header", True).option("multiLine", line_breaks)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

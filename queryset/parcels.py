@@ -103,8 +103,9 @@ def _new_parcels(spark, sf_dir):
     with_views(
         "SELECT s.id AS EXPEDIENTE_NUEVO, p.id AS EXPEDIENTE, CASE WHEN t.id IS NULL THEN 'NO_DEFINIDO' ELSE t.st END AS ESTADO, "
         f"round({_W} * {_H}, 2) AS AREA_TRASLAPE, round({_W} * {_H} / s.area * 100, 2) AS PORCENTAJE_TRASLAPE, p.oid AS oid "
-        f"FROM news s JOIN rows_x p ON {_MEET} LEFT JOIN states t ON t.id = p.id "
-        f"WHERE {_W} * {_H} > 0 AND s.area > 0 AND NOT (t.id IS NOT NULL AND coalesce(t.st, '') IN ('ARCHIVADO', 'EXTINTO'))",
+        "FROM news s JOIN (SELECT oid, id, xmin, ymin, xmax, ymax, false AS added FROM rows_x "
+        f"UNION ALL SELECT oid, id, xmin, ymin, xmax, ymax, true FROM news) p ON {_MEET} LEFT JOIN states t ON t.id = p.id "
+        f"WHERE (NOT p.added OR p.oid < s.oid) AND {_W} * {_H} > 0 AND s.area > 0 AND NOT (t.id IS NOT NULL AND coalesce(t.st, '') IN ('ARCHIVADO', 'EXTINTO'))",
         "target_base", "target_attr", extra=(_STATES, _EXACT, _NEW),
     )
 )

@@ -162,6 +162,22 @@ def test_new_parcels(spark, tmp_path):
     )
 
 
+@pytest.mark.parametrize("shape", ["box", "ring"])
+def test_new_parcels_of_one_batch(spark, shape):
+    """Each new parcel is compared with the base and with the new ones before it, whatever oids the base uses."""
+    data = [(1, "N1", None, 0.0, 0.0, 2.0, 2.0), (2, "N2", None, 1.0, 0.0, 3.0, 2.0), (3, "N3", None, 9.0, 9.0, 10.0, 10.0)]
+    new = spark.createDataFrame(data, BOXES)
+    base = spark.createDataFrame([(1, "B", None, 9.0, 9.0, 9.5, 10.0)], BOXES)
+    if shape == "ring":
+        corners = dict(xs=F.array("xmin", "xmax", "xmax", "xmin"), ys=F.array("ymin", "ymin", "ymax", "ymax"), ring_sizes=F.array(F.lit(4)))
+        new, base = new.withColumns(corners), base.withColumns(corners)
+    states = spark.createDataFrame([(1, "N2", "x"), (2, "N1", "ARCHIVADO")], "oid long, EXPEDIENTE string, ESTADO string")
+    found = O.overlaps_of_new(new, base, states.where("oid = 1"), shape=shape)
+    assert rows(found.drop("oid")) == [("N2", "N1", "NO_DEFINIDO", 2.0, 50.0), ("N3", "B", "NO_DEFINIDO", 0.5, 50.0)]
+    found = O.overlaps_of_new(new, base, states, shape=shape)  # a closed one is not compared with
+    assert rows(found.drop("oid")) == [("N3", "B", "NO_DEFINIDO", 0.5, 50.0)]
+
+
 def test_ring_parcels(spark):
     data = [(1, "U", "x", *[[float(v) for v in c] for c in U_SHAPE[:2]], U_SHAPE[2]), (2, "S", None, [2.0, 4.0, 4.0, 2.0], [2.0, 2.0, 6.0, 6.0], [4]),
             (3, "I", "x", [2.5, 3.5, 3.0], [3.0, 3.0, 5.0], [3]), (4, "G", "x", None, None, None)]

@@ -176,6 +176,25 @@ def test_months(spark):
     assert A.title_from_month(A.most_frequent_month(df.limit(1)), "Informe", 2026, "").first()[0] == "Informe  2026"
 
 
+def test_listing_leaves_nothing_out(spark, tmp_path):
+    base = tmp_path / "todo"
+    for name in ("_nota.txt", ".oculto.txt", "vacio.txt", "a b/ñ #1.txt", "a b/c/.d/x.csv"):
+        put(base / name, "" if name == "vacio.txt" else "x")
+    found = {r.path: r.length for r in files.list_files(spark, str(base)).collect()}
+    assert found == {str(base / n): 0 if n == "vacio.txt" else 1 for n in ("_nota.txt", ".oculto.txt", "vacio.txt", "a b/ñ #1.txt", "a b/c/.d/x.csv")}
+    assert [r.path for r in files.list_files(spark, str(base), "*.csv").collect()] == [str(base / "a b/c/.d/x.csv")]
+    assert files.list_files(spark, str(base), recursive=False).count() == 3
+    (tmp_path / "nada").mkdir()
+    assert files.list_files(spark, str(tmp_path / "nada")).count() == 0
+    with pytest.raises(RegistryError, match="no such folder"):
+        files.list_files(spark, str(tmp_path / "falta"))
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    put(tmp_path / "s.csv", 'A,B\n"uno\ndos",1\ntres,2\n')
+    assert rows(sheets.read_sheet(spark, str(tmp_path / "s.csv")), "A", "B") == [("tres", "2"), ("uno\ndos", "1")]
+
+
 def test_files_and_inventory(spark, tmp_path):
     base = tmp_path / "docs"
     put(base / "x" / "N-1_tema_2026-CAN-PRI-1.pdf", "a")
