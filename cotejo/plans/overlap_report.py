@@ -10,10 +10,15 @@ from cotejo.sources.reports import run_stamp, write_lines, write_report
 
 # The names the id column may have, best first.
 ID_NAMES = ("EXPEDIENTE", "EXPEDIEN_1", "ID")
+# Fixed value: the report's title.
+TITLE = "REPORTE DE TRASLAPES - CM_BASE"
 
 
 def report_overlaps(parcels: DataFrame, ids: DataFrame, out_dir: str, run_ts, **options) -> DataFrame:
-    """Write the text report of the wanted ids and the ids that could not be analysed; returns the overlaps."""
+    """Write the text report of the wanted ids and the ids that could not be analysed; returns the overlaps.
+
+    ENCABEZADO names the columns used and the run time, LINEAS holds the report's lines.
+    """
     shape = options.get("shape", "box")
     id_col = options["id_col"] if "id_col" in options else find_qualified(parcels, ID_NAMES) or ID_NAMES[0]
     if id_col not in ids.columns:
@@ -23,6 +28,12 @@ def report_overlaps(parcels: DataFrame, ids: DataFrame, out_dir: str, run_ts, **
     options["id_col"] = id_col
     found = stored(O.overlaps(parcels, ids, **options))
     folder = f"{out_dir.rstrip('/')}/Reporte_Traslapes_{run_stamp(run_ts)}"
+    head = (
+        TITLE, f"Campo expediente usado: {id_col}", f"Campo estado usado: {options.get('status', 'ESTADO')}",
+        f"Fecha: {run_ts:%Y-%m-%d %H:%M:%S}",
+    )
+    lines = parcels.sparkSession.createDataFrame([(line,) for line in head], "line string").coalesce(1)
+    write_lines(lines, f"{folder}/ENCABEZADO")
     write_lines(O.report_lines(found, O.analysed_subjects(parcels, ids, shape, id_col)), f"{folder}/LINEAS")
     write_report({"PROBLEMAS": O.subject_problems(parcels, ids, shape, id_col)}, folder)
     return O.ranked(found)

@@ -148,6 +148,11 @@ def test_report_plan(spark, tmp_path):
         "Expediente base: E | Área base: 1.0 m²",
         "No se detectaron traslapes válidos.",
     ]
+    head = spark.read.text(str(tmp_path / "Reporte_Traslapes_20260301_120000" / "ENCABEZADO"))
+    assert [r[0] for r in head.collect()] == [
+        "REPORTE DE TRASLAPES - CM_BASE", "Campo expediente usado: EXPEDIENTE", "Campo estado usado: ESTADO",
+        "Fecha: 2026-03-01 12:00:00",
+    ]
 
 
 def test_new_parcels(spark, tmp_path):
