@@ -9,7 +9,9 @@ from cotejo.functions import text as X
 from cotejo.operators import schema as S
 from tests.conftest import rows
 
-LETTERS = st.characters(exclude_categories=("Cs",))
+# All but 28 letters whose capitals this JVM's Unicode tables do not know yet (compared over all code points).
+NO_CAPITAL = [chr(c) for c in (0x19B, 0x264, 0x1C8A, 0xA7CD, 0xA7DB, 0x10791, *range(0x10D70, 0x10D86))]
+LETTERS = st.characters(exclude_categories=("Cs",), exclude_characters=NO_CAPITAL)
 TEXTS = st.lists(
     st.one_of(st.none(), st.text(LETTERS, max_size=12), st.text(" \t\xa0aÉßñ한글𝐎½ﬁ  ́Ⅷ…-2", max_size=12)),
     min_size=60, max_size=60,
