@@ -57,29 +57,32 @@ def month_mail(sheet: DataFrame, year: int, month: int) -> DataFrame:
     return S.with_defaults(df, ["ASUNTO", "DESTINATARIOS"]).select("FECHA", "ASUNTO", "DESTINATARIOS")
 
 
-def tasks_with_mail(tasks: DataFrame, mail: DataFrame) -> DataFrame:
+def _same_pair(null_subjects_match):
+    subject = F.col("ASUNTO").eqNullSafe(F.col("_a")) if null_subjects_match else F.col("ASUNTO") == F.col("_a")
+    return (F.col("FECHA") == F.col("_f")) & subject
+
+
+def tasks_with_mail(tasks: DataFrame, mail: DataFrame, null_subjects_match=False) -> DataFrame:
     """Tasks next to the mail of the same time and subject, then the mail that belongs to no task.
 
-    Null times and subjects match each other. A task with several mails appears once per mail.
+    A task with several mails appears once per mail. Null subjects are no match, as they would pair every task of a
+    time with every mail of it; ``null_subjects_match`` asks for just that. Null times never match.
     """
     m = mail.select(F.col("FECHA").alias("_f"), F.col("ASUNTO").alias("_a"), "DESTINATARIOS")
-    same = F.col("FECHA").eqNullSafe(F.col("_f")) & F.col("ASUNTO").eqNullSafe(F.col("_a"))
-    related = tasks.select(*TASK_COLUMNS).join(m, same, "left").drop("_f", "_a")
-    alone = mail_without_task(tasks, mail).select(
+    related = tasks.select(*TASK_COLUMNS).join(m, _same_pair(null_subjects_match), "left").drop("_f", "_a")
+    alone = mail_without_task(tasks, mail, null_subjects_match).select(
         "FECHA", "ASUNTO", F.lit("").alias("EXPEDIENTE"), F.lit("").alias("CONSECUTIVO"), "DESTINATARIOS"
     )
     return related.unionByName(alone)
 
 
-def mail_without_task(tasks: DataFrame, mail: DataFrame) -> DataFrame:
+def mail_without_task(tasks: DataFrame, mail: DataFrame, null_subjects_match=False) -> DataFrame:
     """The distinct pairs are combined per task before they travel; their hash keeps a busy pair splittable."""
     pair = F.xxhash64("FECHA", "ASUNTO")
     known = tasks.select("FECHA", "ASUNTO").distinct().select(
         F.col("FECHA").alias("_f"), F.col("ASUNTO").alias("_a"), pair.alias("_h")
     )
-    same = (
-        F.col("FECHA").eqNullSafe(F.col("_f")) & F.col("ASUNTO").eqNullSafe(F.col("_a")) & (F.col("_mh") == F.col("_h"))
-    )
+    same = _same_pair(null_subjects_match) & (F.col("_mh") == F.col("_h"))
     return mail.withColumn("_mh", pair).join(known, same, "left_anti").drop("_mh")
 
 
@@ -88,10 +91,10 @@ def tasks_without_mail_sheet(tasks: DataFrame) -> DataFrame:
     return tasks.select(*TASK_COLUMNS, F.lit("").alias("DESTINATARIOS"))
 
 
-def task_report(tasks: DataFrame, mail: DataFrame) -> DataFrame:
+def task_report(tasks: DataFrame, mail: DataFrame, null_subjects_match=False) -> DataFrame:
     """Tasks and mail by date; whether the mail sheet is empty is found out inside the plan."""
     empty = mail.limit(1).agg(F.count("*") == 0).scalar()
-    joined = tasks_with_mail(tasks, mail)
+    joined = tasks_with_mail(tasks, mail, null_subjects_match)
     return by_date(joined.withColumn("DESTINATARIOS", F.when(empty, F.lit("")).otherwise(F.col("DESTINATARIOS"))))
 
 

@@ -169,8 +169,8 @@ def sync(target: DataFrame, winners: DataFrame, run_ts, row_id="oid", deduplicat
     return _apply(joined, target, pairs, run_ts, lambda is_set: _has_key(), row_id)
 
 
-def newly_archived(winners: DataFrame, base: DataFrame, row_id="oid") -> DataFrame:
-    """Staged as archived while the polygon, before this run, is not."""
+def _archive_states(winners, base, row_id):
+    """(staged case id, key and folded status; polygon key and folded status before this run)."""
     case, status = S.case_column(winners), S.find_status(winners)
     base_status = S.find_status(base)
     before = F.lit("") if base_status is None else fold_key(base_status)
@@ -178,16 +178,28 @@ def newly_archived(winners: DataFrame, base: DataFrame, row_id="oid") -> DataFra
         base.where(_has_key()).select(S.KEY, row_id, before.alias("ESTADO_GIS_ACTUAL")), S.KEY, F.desc(row_id)
     )
     staged = F.lit("") if status is None else fold_key(status)
-    candidates = winners.select(F.col(case).alias(S.CASE), S.KEY, staged.alias("ESTADO_EXCEL_NUEVO")).where(
-        F.col("ESTADO_EXCEL_NUEVO") == ARCHIVED
-    )
+    return winners.select(F.col(case).alias(S.CASE), S.KEY, staged.alias("ESTADO_EXCEL_NUEVO")), state
+
+
+def newly_archived(winners: DataFrame, base: DataFrame, row_id="oid") -> DataFrame:
+    """Staged as archived while the polygon, before this run, is not."""
+    staged, state = _archive_states(winners, base, row_id)
     return (
-        candidates.join(state, S.KEY)
+        staged.where(F.col("ESTADO_EXCEL_NUEVO") == ARCHIVED)
+        .join(state, S.KEY)
         .where(F.col("ESTADO_GIS_ACTUAL") != ARCHIVED)
         .select(S.CASE, S.KEY, "ESTADO_GIS_ACTUAL", "ESTADO_EXCEL_NUEVO")
     )
 
 
+def archive_counts(winners: DataFrame, base: DataFrame, row_id="oid") -> DataFrame:
+    """One row: how many winners have no polygon, and how many are newly archived, from one join."""
+    staged, state = _archive_states(winners, base, row_id)
+    joined = staged.join(state, S.KEY, "left")
+    archived = (F.col("ESTADO_EXCEL_NUEVO") == ARCHIVED) & (F.col("ESTADO_GIS_ACTUAL") != ARCHIVED)
+    return joined.agg(F.count_if(F.col(row_id).isNull()).alias("without_polygon"), F.count_if(archived).alias("archived"))
+
+
 def staged_without_polygon(winners: DataFrame, base: DataFrame) -> DataFrame:
     case, status = S.case_column(winners), S.find_status(winners)
     shown = F.lit(None).cast("string") if status is None else F.col(status)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cotejo.errors import RegistryError
 from cotejo.functions.dates import iso_second
+from cotejo.functions.text import is_blank
 from cotejo.operators import quality as Q
 from cotejo.operators import reconcile as R
 from cotejo.operators import schema as S
@@ -190,19 +191,33 @@ class RegistryRun:
         }
         return Q.union_all([Q.problems(df, c, k, kind, detail) for kind, (df, c, k, detail) in parts.items()])
 
-    def summary(self, problems=None, log_attributes=None, log_polygons=None) -> DataFrame:
-        """METRICA/VALOR rows; written sheets may be passed in to be counted instead of recomputed."""
-        def counted(df, mark, column):
-            return df.groupBy(F.concat(F.lit(mark), F.col(column)).alias("_what")).agg(F.count("*").alias("_n"))
-
-        counts = Q.union_all(
-            [
-                counted(problems or self.problems(), "P:", "TIPO_PROBLEMA"),
-                counted(log_attributes or self.log_attributes(), "A:", "ACCION"),
-                counted(log_polygons or self.log_polygons(), "B:", "ACCION"),
-                counted(self.base_rows.where(F.col("ACCION").isNotNull()), "R:", "ACCION"),
-            ]
+    def _counts(self) -> DataFrame:
+        """_what, _n as in COUNTED_METRICS. Every frame is reduced to counts where it is read; no list is built."""
+        key, has_key = F.col(S.KEY), F.coalesce(F.col(S.KEY) != "", F.lit(False))
+        status = S.find_status(self.stage)
+        blank = F.lit(False) if status is None else is_blank(status)
+        per_key = self.stage.groupBy(S.KEY).agg(F.count("*").alias("n"), F.count_if(blank).alias("blank"))
+        staged = per_key.agg(
+            F.count_if(has_key & (F.col("n") > 1)).alias("P:DUPLICADO_ORIGEN"), F.sum("blank").alias("P:ESTADO_VACIO"),
+            F.sum(F.when(key == "", F.col("n"))).alias("P:LLAVE_VACIA"),
         )
+        matched = R.archive_counts(self.winners, self.base_kept, self.row_id)
+        parts = [staged, matched.toDF("P:EXCEL_SIN_CM_BASE", "P:NUEVO_ARCHIVADO")]
+        for mark, target in (("A", self.attr_before), ("B", self.base_before)):
+            copies = target.where(has_key).groupBy(S.KEY).agg((F.count("*") - 1).alias("n"))
+            parts.append(copies.agg(F.sum("n").alias(f"{mark}:DELETE_DUP")))
+        acted = lambda action: F.count_if(F.col("ACCION") == action)
+        parts.append(self.attr_rows.agg(*[acted(a).alias(f"A:{a}") for a in ("UPDATE", "INSERT", "NOCHANGE", "SET_SIN_DATOS")]))
+        parts.append(self.base_rows.agg(
+            acted("UPDATE").alias("B:UPDATE"), acted("NOCHANGE").alias("B:NOCHANGE"), acted("SET_SIN_DATOS").alias("R:SET_SIN_DATOS"),
+            F.count_distinct(F.when(F.col("ACCION") == "SET_SIN_DATOS", key)).alias("P:CM_BASE_SIN_EXCEL"),
+        ))
+        pairs = [F.array(*[F.struct(F.lit(c).alias("_what"), F.col(f"`{c}`").alias("_n")) for c in df.columns]) for df in parts]
+        return Q.union_all([df.select(F.inline(p)) for df, p in zip(parts, pairs)])
+
+    def summary(self) -> DataFrame:
+        """METRICA/VALOR rows."""
+        counts = self._counts()
         rows = [(m, None, v) for m, v in self.info.labels.items()]
         rows += [("CM_ATRIBUTOS", None, self.info.attr_table), ("CM_BASE", None, self.info.base_table)]
         rows += [(m, what, None) for m, what in COUNTED_METRICS.items()]
@@ -271,11 +286,6 @@ def run_registry_etl(stage, attr, base, info: RunInfo, out_dir, row_id="oid", on
 
     run = RegistryRun(stage, attr, base, info, row_id, materialize=store)
     sheets = run.sheets()
-    summary = sheets.pop("RESUMEN")
-    written = write_report(sheets, folder)
-    summary = run.summary(
-        written["PROBLEMAS_EXPEDIENTE"], written["LOG_CM_ATRIBUTOS"], written["LOG_CM_BASE"]
-    )
-    write_report({"RESUMEN": summary}, folder)
+    write_report(sheets, folder)
     return run
 

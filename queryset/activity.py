@@ -40,7 +40,7 @@ _MONTH_MAIL = (
     f'SELECT FECHA, Asunto AS ASUNTO, Destinatarios AS DESTINATARIOS FROM (SELECT *, {_date_sql(chr(34) + "Fecha de envío" + chr(34))} AS FECHA FROM mail) '
     f"WHERE {_in_month('FECHA')}",
 )
-_SAME = "m.FECHA IS NOT DISTINCT FROM t.FECHA AND m.ASUNTO IS NOT DISTINCT FROM t.ASUNTO"
+_SAME = "m.FECHA = t.FECHA AND m.ASUNTO = t.ASUNTO"
 _ALONE = f"SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM t WHERE {_SAME})"
 _TASK_STEPS = (_DATED_TASKS, _MONTH_TASKS, _TASK_TABLE)
 

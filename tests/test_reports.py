@@ -161,10 +161,12 @@ def test_empty_tasks(spark):
     assert A.task_report(empty, mail.limit(0)).columns[-1] == "DESTINATARIOS"
 
 
-def test_null_subjects_match(spark):
-    tasks = spark.createDataFrame([(NOW, None, "e", "c"), (None, "a", "e", "c")], "FECHA timestamp_ntz, ASUNTO string, EXPEDIENTE string, CONSECUTIVO string")
-    mail = spark.createDataFrame([(NOW, None, "p"), (None, "a", "q")], "FECHA timestamp_ntz, ASUNTO string, DESTINATARIOS string")
-    assert rows(A.tasks_with_mail(tasks, mail), "DESTINATARIOS") == [("p",), ("q",)]
+def test_null_subjects_and_times(spark):
+    tasks = spark.createDataFrame([(NOW, None, "e", "c"), (None, "a", "e", "c"), (NOW, "a", "e", "c")], "FECHA timestamp_ntz, ASUNTO string, EXPEDIENTE string, CONSECUTIVO string")
+    mail = spark.createDataFrame([(NOW, None, "p"), (None, "a", "q"), (NOW, "a", "r")], "FECHA timestamp_ntz, ASUNTO string, DESTINATARIOS string")
+    pairs = lambda df: sorted((r.EXPEDIENTE, r.DESTINATARIOS or "-") for r in df.collect())
+    assert pairs(A.tasks_with_mail(tasks, mail)) == [("", "p"), ("", "q"), ("e", "-"), ("e", "-"), ("e", "r")]
+    assert pairs(A.tasks_with_mail(tasks, mail, null_subjects_match=True)) == [("", "q"), ("e", "-"), ("e", "p"), ("e", "r")]
 
 
 def test_months(spark):
