@@ -5,16 +5,23 @@ other URL is scored: each label of a host is split into words by a Viterbi searc
 the pages' own visible text, path tokens are added (numbers as ``#``), and multinomial naive Bayes, trained on the URLs
 that rules decide and on a few seed words, says ``block`` or ``allow``.
 
+What the rules look at must not come back as evidence. Labels that any rule's host names and as many leading path
+segments as the longest rule path has are no tokens, neither in training nor in scoring. The pages below one rule host
+(the longest that fits) form a zone, and both verdicts weigh the same in it: a zone with a single verdict teaches
+nothing, as all its words would only repeat the rule. A host counts once, however many pages it has. The prior is a
+stated share of bad pages (``prior``), not the rules' share.
+
 Nothing here is broadcast: distinct host labels meet the unigram counts through their substrings, and tokens meet the
 class counts, in joins that the engine splits where a key is hot. Segmentation runs once per distinct label and scores
 once per distinct (host, path); pages are joined back on both.
 
-Null URLs and those without ``://`` have an empty host and path: no rule fits, and the class prior decides. Repeated
+Null URLs and those without ``://`` have an empty host and path: no rule fits, and the prior decides. Repeated
 pages get equal verdicts; null ids pass through; columns other than the id are not carried. With no page at all, or none
-that a rule decides, the seeds and an even prior decide.
+that a rule decides, the seeds and the prior decide.
 """
 
 import math
+import re
 from dataclasses import dataclass
 
 import pandas as pd
@@ -26,6 +33,7 @@ from cotejo.llm.common import stored
 LONGEST_WORD = 24
 SMOOTHING = 0.5
 SEED_WEIGHT = 20.0
+PRIOR = 0.05
 BLOCK_SEEDS = ("adult", "ads", "bet", "bets", "casino", "farm", "pills", "poker", "porn", "spam", "track", "tracker", "win")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -59,6 +67,20 @@ def ruled(host, path, rules):
     return out
 
 
+def zoned(host, rules):
+    """The longest rule host that fits, whatever the path; null where none does."""
+    out = F.lit(None).cast("string")
+    for name in sorted({r.host for r in rules}, key=lambda h: (len(h), h)):
+        out = F.when((host == name) | host.endswith("." + name), F.lit(name)).otherwise(out)
+    return out
+
+
+def named(rules):
+    """(labels that rule hosts name, path segments that rule paths look at)."""
+    labels = {x for r in rules for x in re.split(r"[\W\d_]+", r.host.lower()) if x}
+    return sorted(labels), max((len([x for x in r.path.split("/") if x]) for r in rules), default=0)
+
+
 def unigrams(pages: DataFrame, html="html") -> DataFrame:
     """word, n: how often each word of the pages' visible text occurs."""
     visible = F.regexp_replace(F.col(html), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
@@ -106,38 +128,55 @@ def viterbi(label, edges, total, longest=LONGEST_WORD):
     return words[::-1]
 
 
-def judged(pages: DataFrame, rules, page_id="page_id", url="url", html="html", seeds=BLOCK_SEEDS, smoothing=SMOOTHING, seed_weight=SEED_WEIGHT):
+def learnt_from(tokens: DataFrame, smoothing=SMOOTHING, seeds=(), seed_weight=SEED_WEIGHT) -> DataFrame:
+    """token, odds: log odds of ``block`` of each token, from rows (host, zone, pages, block, tokens) that rules decide."""
+    totals = tokens.groupBy("host").agg(F.sum("pages").alias("all_"))
+    share = F.col("n") / F.col("all_")  # of the host's pages; all its pages weigh one
+    zones = tokens.groupBy("zone", "host", "block").agg(F.sum("pages").alias("n")).join(totals, "host").withColumn("n", share)
+    zones = zones.groupBy("zone").agg(*_counted()).filter("b > 0 AND a > 0")
+    zones = zones.select("zone", (F.least("b", "a") / F.col("b")).alias("for_b"), (F.least("b", "a") / F.col("a")).alias("for_a"))
+    told = tokens.select("zone", "host", "block", "pages", F.explode("tokens").alias("token"))
+    told = told.groupBy("zone", "host", "block", "token").agg(F.sum("pages").alias("n")).join(totals, "host").withColumn("n", share)
+    told = told.groupBy("zone", "token").agg(*_counted()).join(zones, "zone")
+    told = stored(told.groupBy("token").agg(F.sum(F.col("b") * F.col("for_b")).alias("b"), F.sum(F.col("a") * F.col("for_a")).alias("a")))
+    b, a, kinds = told.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
+    if seeds:  # they add to their own tokens, not to the totals
+        seeded = tokens.sparkSession.createDataFrame([(f"host:{w}", float(seed_weight), 0.0) for w in seeds], "token string, b double, a double")
+        told = told.unionByName(seeded).groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+    b, a = (b or 0.0) + smoothing * (kinds + 1), (a or 0.0) + smoothing * (kinds + 1)
+    return told.select("token", (F.log((F.col("b") + smoothing) / b) - F.log((F.col("a") + smoothing) / a)).alias("odds"))
+
+
+def judged(
+    pages: DataFrame, rules, page_id="page_id", url="url", html="html", seeds=BLOCK_SEEDS, smoothing=SMOOTHING, seed_weight=SEED_WEIGHT, prior=PRIOR
+):
     """page id, host, path, rule, verdict, score (log odds of ``block`` by the method) of every page."""
     host, path = host_and_path(F.col("url_"))
     urls = pages.select(F.col(page_id), F.col(url).cast("string").alias("url_")).select(page_id, host.alias("host"), path.alias("path"))
     urls = urls.withColumn("ruled", ruled(F.col("host"), F.col("path"), rules))
     seen = stored(urls.groupBy("host", "path").agg(F.count("*").alias("pages"), F.first("ruled").alias("ruled")))
 
+    own, depth = named(rules)
     hosts = seen.select("host").distinct()
     labels = hosts.select("host", F.posexplode(F.split("host", r"[^\p{L}]+")).alias("place", "label")).filter("label <> ''")
+    labels = labels.filter(~F.col("label").isin(own))
     words = segmented(labels.select("label").distinct(), stored(unigrams(pages, html)))
     by_host = labels.join(words, "label").groupBy("host").agg(  # bounded by the host's length
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("place", "words"))), lambda x: x["words"])).alias("words")
     )
-    of_path = F.filter(F.split(F.translate("path", _UPPER, _LOWER), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    beyond = F.regexp_replace(F.translate("path", _UPPER, _LOWER), f"^(?:/*[^/]+){{0,{depth}}}", "")
+    of_path = F.filter(F.split(beyond, r"[^\p{L}\p{N}]+"), lambda t: t != "")
     of_path = F.transform(of_path, lambda t: F.concat(F.lit("path:"), F.when(t.rlike(r"^\p{N}+$"), "#").otherwise(t)))
     of_host = F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda t: F.concat(F.lit("host:"), t))
     tokens = stored(seen.join(by_host, "host", "left").select("host", "path", "pages", "ruled", F.concat(of_host, of_path).alias("tokens")))
 
     block = F.col("ruled.verdict") == "block"
-    learnt = tokens.filter("ruled IS NOT NULL").select("pages", block.alias("block"), F.explode("tokens").alias("token"))
-    learnt = stored(learnt.groupBy("token").agg(*_counted()))
-    b, a, kinds = learnt.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
-    if seeds:  # they add to their own tokens, not to the totals
-        seeded = seen.sparkSession.createDataFrame([(f"host:{w}", float(seed_weight), 0.0) for w in seeds], "token string, b double, a double")
-        learnt = learnt.unionByName(seeded).groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
-    pb, pa = seen.filter("ruled IS NOT NULL").withColumn("block", F.col("ruled.verdict") == "block").agg(*_counted()).first()
-    b, a, prior = (b or 0.0) + smoothing * (kinds + 1), (a or 0.0) + smoothing * (kinds + 1), math.log(((pb or 0.0) + 1) / ((pa or 0.0) + 1))
-    odds = F.log((F.col("b") + smoothing) / b) - F.log((F.col("a") + smoothing) / a)  # a token no class has says nothing
+    decided = tokens.filter("ruled IS NOT NULL").select("host", zoned(F.col("host"), rules).alias("zone"), "pages", block.alias("block"), "tokens")
+    learnt = learnt_from(decided, smoothing, seeds, seed_weight)
     told = tokens.filter("ruled IS NULL").select("host", "path", F.explode("tokens").alias("token"))
-    told = told.join(learnt, "token").groupBy("host", "path").agg(F.round(F.sum(odds), 9).alias("sum_"))
+    told = told.join(learnt, "token").groupBy("host", "path").agg(F.round(F.sum("odds"), 9).alias("sum_"))  # a token no class has says nothing
 
-    score = F.when(F.col("ruled").isNull(), F.coalesce("sum_", F.lit(0.0)) + prior)
+    score = F.when(F.col("ruled").isNull(), F.coalesce("sum_", F.lit(0.0)) + math.log(prior / (1 - prior)))
     verdict = F.coalesce("ruled.verdict", F.when(score > 0, "block").otherwise("allow"))
     return urls.join(told, ["host", "path"], "left").select(
         page_id, "host", "path", F.col("ruled.rule").alias("rule"), verdict.alias("verdict"), score.alias("score")
@@ -145,5 +184,4 @@ def judged(pages: DataFrame, rules, page_id="page_id", url="url", html="html", s
 
 
 def _counted():
-    weight = F.col("pages").cast("double")
-    return F.sum(F.when(F.col("block"), weight).otherwise(0.0)).alias("b"), F.sum(F.when(F.col("block"), 0.0).otherwise(weight)).alias("a")
+    return F.sum(F.when(F.col("block"), F.col("n")).otherwise(0.0)).alias("b"), F.sum(F.when(F.col("block"), 0.0).otherwise(F.col("n"))).alias("a")

@@ -114,6 +114,29 @@ def test_url_rules(spark):
     assert url_filter.judged(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_clean_hosts(spark):
+    """What the rules look at is no evidence on pages no rule decides: neither a zone of one verdict, nor path prefixes."""
+    clean = ["garden", "river", "stone", "cloud", "forest", "meadow"]
+    urls = [f"http://{w}.example.{top}/{lang}/{n}" for w in clean for top in ("com", "net", "org") for lang in ("en", "es", "de") for n in range(5)]
+    urls += [f"http://poker.{w}.example.org/en/1" for w in clean]
+    pages = spark.createDataFrame([(i, u, f"<p>{' '.join(clean)} poker example</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judged(pages, queries.URL_RULES).collect()}
+    for i, u in enumerate(urls):
+        if got[i]["rule"] is None:
+            assert got[i]["verdict"] == ("block" if "poker" in u else "allow"), u
+
+
+def test_url_learns_in_a_zone(spark):
+    """A word under many blocked hosts of a zone and no allowed one is met again outside; a large host counts once."""
+    rules = [url_filter.Rule("site.com", "/", "allow"), url_filter.Rule("site.com", "/x/", "block")]
+    urls = [f"http://w{'abcdefghijklmnopqrstuvwxyz'[n]}.zilch.site.com/x/1" for n in range(26)]
+    urls += [f"http://k{'abcdefghijklmnopqrstuvwxyz'[n]}.plain.site.com/y/1" for n in range(26)]
+    urls += [f"http://bulk.site.com/x/{n}" for n in range(200)] + ["http://zilch.org/", "http://plain.org/", "http://bulk.org/"]
+    pages = spark.createDataFrame([(i, u, "<p>zilch plain bulk</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["host"]: r["verdict"] for r in url_filter.judged(pages, rules).collect()}
+    assert (got["zilch.org"], got["plain.org"], got["bulk.org"]) == ("block", "allow", "allow")
+
+
 def test_viterbi():
     counts = {"free": 50, "bets": 20, "fre": 1, "ebets": 1, "be": 30}
     edges = [{"start": i, "size": j - i, "n": counts[w]} for i in range(8) for j in range(i + 1, 9) if (w := "freebets"[i:j]) in counts]
