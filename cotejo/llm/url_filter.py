@@ -11,6 +11,9 @@ segments as the longest rule path has are no tokens, neither in training nor in
 nothing, as all its words would only repeat the rule. A host counts once, however many pages it has. The prior is a
 stated share of bad pages (``prior``), not the rules' share.
 
+``seeds`` is the caller's list of host words, each with its plural in s; the short default is general and not drawn from
+any table. Words that neither the seeds nor the ruled pages tell about say nothing.
+
 Nothing here is broadcast: distinct host labels meet the unigram counts through their substrings, and tokens meet the
 class counts, in joins that the engine splits where a key is hot. Segmentation runs once per distinct label and scores
 once per distinct (host, path); pages are joined back on both.
@@ -30,11 +33,11 @@ from pyspark.sql import functions as F
 
 from cotejo.llm.common import stored
 
-LONGEST_WORD = 24
+LONGEST_WORD = 63  # no label of a host name is longer
 SMOOTHING = 0.5
 SEED_WEIGHT = 20.0
 PRIOR = 0.05
-BLOCK_SEEDS = ("adult", "ads", "bet", "bets", "casino", "farm", "pills", "poker", "porn", "spam", "track", "tracker", "win")
+BLOCK_SEEDS = ("bet", "poker", "porn", "tracker")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -141,7 +144,7 @@ def learnt_from(tokens: DataFrame, smoothing=SMOOTHING, seeds=(), seed_weight=SE
     told = stored(told.groupBy("token").agg(F.sum(F.col("b") * F.col("for_b")).alias("b"), F.sum(F.col("a") * F.col("for_a")).alias("a")))
     b, a, kinds = told.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
     if seeds:  # they add to their own tokens, not to the totals
-        seeded = tokens.sparkSession.createDataFrame([(f"host:{w}", float(seed_weight), 0.0) for w in seeds], "token string, b double, a double")
+        seeded = tokens.sparkSession.createDataFrame([(f"host:{w}{s}", float(seed_weight), 0.0) for w in seeds for s in ("", "s")], "token string, b double, a double")
         told = told.unionByName(seeded).groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
     b, a = (b or 0.0) + smoothing * (kinds + 1), (a or 0.0) + smoothing * (kinds + 1)
     return told.select("token", (F.log((F.col("b") + smoothing) / b) - F.log((F.col("a") + smoothing) / a)).alias("odds"))

@@ -137,6 +137,17 @@ def test_url_learns_in_a_zone(spark):
     assert (got["zilch.org"], got["plain.org"], got["bulk.org"]) == ("block", "allow", "allow")
 
 
+def test_url_seeds_and_long_words(spark):
+    """Common words block nothing by default, a caller's seeds do; a word as long as its label is found whole."""
+    word = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    urls = ["http://www.farm.org/", "http://win.org/x", "http://track.org/", "http://pokers.org/", f"http://{word}.org/"]
+    pages = spark.createDataFrame([(i, u, f"<p>farm win track poker pokers {word} org</p>") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judged(pages, queries.URL_RULES).collect()}
+    assert [got[i] for i in range(5)] == ["allow", "allow", "allow", "block", "allow"]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judged(pages, queries.URL_RULES, seeds=("farm", word)).collect()}
+    assert [got[i] for i in range(5)] == ["block", "allow", "allow", "allow", "block"]
+
+
 def test_viterbi():
     counts = {"free": 50, "bets": 20, "fre": 1, "ebets": 1, "be": 30}
     edges = [{"start": i, "size": j - i, "n": counts[w]} for i in range(8) for j in range(i + 1, 9) if (w := "freebets"[i:j]) in counts]
