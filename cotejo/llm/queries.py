@@ -49,7 +49,8 @@ def op4_token_counts(spark, sf_dir):
 
 def op5_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    field = toxicity.train(*toxicity.labelled(docs, labels.filter(~held_out(3, 1))))
+    learnt = labels.filter(~held_out(3, 1))
+    field = toxicity.train(*toxicity.labelled(docs, learnt), known=toxicity.vocabulary(docs, learnt))
     out = toxicity.toxicity(docs, field, keep=["doc_id"])
     return out.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
 

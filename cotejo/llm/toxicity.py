@@ -6,8 +6,9 @@ labelled toxic or not: in a toxic document, words found far more often in toxic
 labelled toxic, every other token clean. The field is fitted by AdaGrad on the likelihood, then a logistic layer over
 the marginals (their sum, largest and mean) is fitted to the labels of documents the field has not seen.
 
-Fitting uses at most ``sample`` documents of each label (smallest id hashes), with whole texts: the one bound here, a
-documented parameter. Scoring covers every whole text; forward and backward passes run over all tokens of a shard at
+How many documents hold a word is counted over all labelled rows (``vocabulary``), so rare words and small languages
+are met. The field's fit uses at most ``sample`` documents of each label (smallest id hashes), with whole texts: the one
+bound here, a documented parameter. Words of the vocabulary that the sample lacks get the middle weight of those it has. Scoring covers every whole text; forward and backward passes run over all tokens of a shard at
 once, as scans of 2x2 matrices in blocks, with the chain cut at document ends.
 
 Null and empty texts score as documents without tokens (the logistic layer's value at zero). Labelled rows with a null
@@ -22,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cotejo.llm.common import Words, chain, map_texts, mix
+from cotejo.llm.common import SHARD_BYTES, Words, chain, cuts, map_texts, mix, stored
 
 SAMPLE = 700
 BITS = 18
 STEM = 4
 ROUNDS = 30
 THRESHOLD = 0.7
+LIFT, PROOF = 6.0, 20.0
 _STRIDE = 64
 _SCALES = np.array([1.0, 1.0, 0.2, 0.2])  # what stands beside a word says less
 _SPANS = "array<struct<start:int,stop:int>>"
@@ -137,13 +139,51 @@ def forward(m):
     return out.transpose(1, 2, 0).reshape(2, -1)[:, :n]
 
 
-def toxic_tokens(words, doc, labels, lift=6.0, proof=20.0):
-    """Which tokens have a word (or first letters) that toxic documents hold far more often than clean ones: by ``lift``,
-    and with a likelihood ratio of at least ``proof``, so that rare words do not qualify by chance."""
+def vocabulary(documents: DataFrame, labels: DataFrame, lift=LIFT, proof=PROOF, doc_id="doc_id", label="toxic", text="text"):
+    """(words, stems): sorted hashes of those that ``toxic_tokens`` would take, counted over all labelled rows."""
+    ids = labels.select(F.col(doc_id).alias("id_"), (F.col(label) == 1).alias("label_")).dropna()
+    ids = ids.hint("merge")  # all labels: too many to broadcast in a large corpus, so the plan is the same at every size
+    rows = documents.select(F.col(doc_id).alias("id_"), F.col(text).cast("string").alias("text_")).join(ids, "id_").select("label_", "text_")
+
+    def counts(frames):
+        for frame in frames:
+            toxic, column = np.array(frame.column(0).to_pylist(), bool), frame.column(1).cast(pa.large_string())
+            for low, high in cuts(column, SHARD_BYTES):
+                w, own = Words(column.slice(low, high - low), alnum=True), toxic[low:high]
+                words, doc = w.hashes(), w.doc()
+                parts = [(k, *_held(x, doc, own)[:3]) for k, x in enumerate((words, _stems(w, words)))]
+                parts.append((2, np.zeros(1, np.uint64), np.array([own.sum()]), np.array([(~own).sum()])))  # documents
+                for kind, types, bad, good in parts:
+                    values = [pa.array(np.full(len(types), kind), pa.int32()), pa.array(types.view(np.int64)), pa.array(bad, pa.int64()), pa.array(good, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(values, names=["kind", "type", "bad", "good"])
+
+    held = rows.mapInArrow(counts, "kind int, type long, bad long, good long")
+    held = stored(held.groupBy("kind", "type").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
+    total = held.filter("kind = 2").select("bad", "good").first()
+    if not total or not total[0] or not total[1]:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    share = total[0] / (total[0] + total[1])
+    both = F.col("bad") + F.col("good")
+    odds = ((F.col("bad") + 0.5) / (total[0] + 1)) / ((F.col("good") + 0.5) / (total[1] + 1))
+    part = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (both * p))).otherwise(0.0)
+    taken = held.filter("kind < 2").filter((odds >= lift) & (2 * (part("bad", share) + part("good", 1 - share)) >= proof))
+    got = taken.select("kind", "type").toPandas()  # the toxic words only
+    return tuple(np.sort(got["type"][got["kind"] == k].to_numpy(np.int64).view(np.uint64)) for k in (0, 1))
+
+
+def _held(words, doc, labels):
+    """Types, the number of toxic and of clean documents that hold each, and each token's type."""
     kinds, place = np.unique(words, return_inverse=True)
     pairs = np.unique(np.stack([place, doc], 1), axis=0)
     of = labels[pairs[:, 1]]
-    bad, good = (np.bincount(pairs[x, 0], minlength=len(kinds)).astype(float) for x in (of, ~of))
+    return kinds, *(np.bincount(pairs[x, 0], minlength=len(kinds)) for x in (of, ~of)), place
+
+
+def toxic_tokens(words, doc, labels, lift=LIFT, proof=PROOF):
+    """Which tokens have a word (or first letters) that toxic documents hold far more often than clean ones: by ``lift``,
+    and with a likelihood ratio of at least ``proof``, so that rare words do not qualify by chance."""
+    _, bad, good, place = _held(words, doc, labels)
+    bad, good = bad.astype(float), good.astype(float)
     share = labels.mean()
     odds = ((bad + 0.5) / (labels.sum() + 1)) / ((good + 0.5) / ((~labels).sum() + 1))
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -151,7 +191,8 @@ def toxic_tokens(words, doc, labels, lift=6.0, proof=20.0):
     return ((odds >= lift) & (ratio >= proof))[place]
 
 
-def train(texts, labels, rounds=ROUNDS) -> Field:
+def train(texts, labels, rounds=ROUNDS, known=None) -> Field:
+    """A field from labelled texts; ``known``: the ``vocabulary`` of all labelled rows, else that of the texts."""
     share = float(labels.mean()) if len(labels) else 0.5
     field = Field(np.zeros(1 << BITS), 0.0, np.zeros((2, 2)), np.zeros(4))
     if share in (0.0, 1.0) or not len(labels):
@@ -163,7 +204,9 @@ def train(texts, labels, rounds=ROUNDS) -> Field:
     texts, labels = [t for t, o in zip(texts, own) if o], labels[own]
     w = Words(pa.array(texts, pa.large_string()), alnum=True)
     words, doc, slots = w.hashes(), w.doc(), _features(w)
-    gold = (toxic_tokens(words, doc, labels) | toxic_tokens(_stems(w, words), doc, labels)) & labels[doc]
+    types = words, _stems(w, words)
+    marked = [toxic_tokens(x, doc, labels) if known is None else np.isin(x, known[k]) for k, x in enumerate(types)]
+    gold = (marked[0] | marked[1]) & labels[doc]
     opens = np.zeros(len(words), bool)
     opens[w.first[:-1][w.counts > 0]] = True
     inner = np.flatnonzero(~opens)
@@ -180,6 +223,12 @@ def train(texts, labels, rounds=ROUNDS) -> Field:
         slope = (links - expected) / size
         seen_links += slope**2
         field.links += 0.2 * slope / np.sqrt(seen_links)
+    if known is not None and gold.any():
+        middle = np.median(field.weights[slots[:2, gold]].sum(0))
+        for kind in (0, 1):
+            new = np.setdiff1d(known[kind], types[kind])
+            new = (chain([np.full_like(new, kind), new]) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+            field.weights[new] = np.maximum(field.weights[new], middle)
     w = Words(pa.array(told, pa.large_string()), alnum=True)
     x = _statistics(field.marginals(_features(w), w), w)
     y, layer = layer_labels.astype(float), np.zeros(4)

@@ -270,6 +270,27 @@ def test_toxicity(spark, awkward):
     assert toxicity.toxicity(empty(spark), field).count() == 0
 
 
+def test_toxicity_rare_words(spark):
+    """Words of one toxic document in 30 are learnt when enough labelled rows hold them, also where the sample has none."""
+    rng = random.Random(3)
+    plain = [f"plain{chr(97 + k)}{chr(97 + j)}" for k in range(26) for j in range(4)]
+    text = lambda *more: " ".join(sorted([*rng.choices(plain, k=30), *more], key=lambda _: rng.random()))
+    rows = [(i, text(*(["qqvile"] * 3 if i % 60 else ["zzrude"] * 3)) if i % 2 == 0 else text(), (i + 1) % 2) for i in range(3600)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    known = toxicity.vocabulary(docs, labels)
+    assert [len(k) for k in known] == [2, 2]
+    texts, kinds = toxicity.labelled(docs, labels, sample=60)
+    for rare in (texts, [t.replace("zzrude", "plainaa") for t in texts]):
+        field = toxicity.train(rare, kinds, known=known)
+        new = spark.createDataFrame([(1, text("zzrude", "zzrude", "zzrude")), (2, text())], "doc_id long, text string")
+        assert {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(new, field).collect()} == {1: 1, 2: 0}
+    old = toxicity.train(texts, kinds)
+    assert toxicity.toxicity(new.filter("doc_id = 1"), old).first()["predicted"] == 0
+    nothing = toxicity.vocabulary(docs.limit(0), labels)
+    assert [len(k) for k in nothing] == [0, 0]
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
