@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from cotejo.llm import decontaminate, language_id, mixing, near_duplicates, quality, repeated_bytes, secrets, token_counts, toxicity, url_filter
+from cotejo.llm import (
+    decontaminate, language_id, manifest, mixing, near_duplicates, quality, repeated_bytes, resampling, secrets, sharding, token_counts, toxicity,
+    url_filter,
+)
+from cotejo.llm.oracle_sql import merkle_sql, resampling_sql, shards_sql
 
 TOKENIZER = "piece_bpe_32k.model"
 URL_RULES = (
@@ -87,9 +91,29 @@ def op10_mixing(spark, sf_dir):
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    even = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    presented = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    trees = manifest.manifest(docs, ("doc_id", "source", "lang", "n_chars", "text"), "source", "doc_id", ("doc_id",), {"text": presented})
+    proof = F.sha2(F.array_join("proof", "").cast("binary"), 256)
+    return trees.proofs().select("kept.doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_importance_resampling(spark, sf_dir):
+    out = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_shards(spark, sf_dir):
+    out = sharding.sharded(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_url_filter, op3_repeated_bytes, op4_token_counts, op5_toxicity, op6_language_id,
-    op7_near_duplicates, op8_secrets, op9_quality_rules, op10_mixing,
+    op7_near_duplicates, op8_secrets, op9_quality_rules, op10_mixing, op11_merkle_manifest,
+    op12_importance_resampling, op13_shards,
 )}
 
 _WORDS = f"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM}')"""
@@ -109,4 +133,7 @@ items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT it
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_merkle_manifest": merkle_sql(),
+    "op12_importance_resampling": resampling_sql(_WORDS, _WORDS),
+    "op13_shards": shards_sql(),
 }
