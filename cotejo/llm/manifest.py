@@ -183,7 +183,7 @@ def plant(items: DataFrame, height=HEIGHT) -> Forest:
         most = -(-most // wide)
         items = blocks.select(
             "tree", F.col("block").alias("rank"), F.ceil(F.col("total") / wide).cast("long").alias("total"),
-            F.substring("nodes", 1, DIGEST).alias("node"), F.struct(F.lit(True).alias("inner")).alias("kept"), F.lit(None).cast("binary").alias("other"),
+            F.substring("nodes", 1, DIGEST).alias("node"), F.struct(F.lit(None).cast("boolean").alias("inner")).alias("kept"), F.lit(None).cast("binary").alias("other"),
         )
 
 

@@ -5,9 +5,9 @@ total: size (largest first), then the text's digest; equal loads go to the lower
 share leaves the others to the remaining shards.
 
 At scale the heap never sees more than ``most`` items. While there are more, they are bundled: items are dealt to
-blocks of ``block`` items by hash, and in each block the same scheduling makes ``block`` / 16 bundles of near equal size out of
-them (an item larger than that is a bundle alone). Each round leaves a sixteenth of the items; the last ones are put on the shards
-in one task. Up to ``most`` groups the result is that of one heap over all groups; beyond, shards still differ by no
+blocks of ``block`` items by hash, and in each block the same scheduling makes bundles of near equal size out of them (an item
+larger than that is a bundle alone). A round leaves a sixteenth of the items, the last one ``most``, which are put on the
+shards in one task. Up to ``most`` groups the result is that of one heap over all groups; beyond, shards still differ by no
 more than about a bundle.
 
 A group is known by the MD5 digest of its text (a collision would only keep two texts together). The texts are read
@@ -61,10 +61,11 @@ def assigned(groups: DataFrame, shards=SHARDS, most=MOST, block=BLOCK) -> DataFr
     rounds, items, n = [], groups, groups.count()
     while n > most:
         blocks = -(-n // block)
+        machines = max(1, block // PER_BUNDLE, most // blocks)
         # a hash of its own in each round, so that bundles of one block part again
         deal = F.pmod(F.xxhash64("item", F.lit(len(rounds))), F.lit(blocks))
         bundle = F.concat_ws(":", F.lit(len(rounds)), "block", "machine")
-        dealt = stored(_dealt(items, deal, max(1, block // PER_BUNDLE)).select("item", bundle.alias("bundle"), "size"))
+        dealt = stored(_dealt(items, deal, machines).select("item", bundle.alias("bundle"), "size"))
         rounds.append(dealt.select("item", "bundle"))
         items = stored(dealt.groupBy("bundle").agg(F.sum("size").alias("size")).withColumnRenamed("bundle", "item"))
         n = items.count()
