@@ -18,6 +18,12 @@ _SPACE_CHARACTERS = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace()
 _NON_ASCII = r"[^\x00-\x7F]"
 _BEYOND_LATIN1 = r"[^\x00-\x7F\xC0-\xFF]"
 
+_PAGE_BITS = 8
+_ENTRY_END = "\x01"
+# Hangul syllables and the jamo they are made of: leads, vowels, tails (fixed ranges of Unicode).
+_FIRST_SYLLABLE, _LAST_SYLLABLE = 0xAC00, 0xD7A3
+_JAMO = tuple("".join(map(chr, span)) for span in (range(0x1100, 0x1113), range(0x1161, 0x1176), range(0x11A8, 0x11C3)))
+
 # A case id inside running text: year, two letter groups, number (fixed value).
 CASE_ID_PATTERN = r"[0-9]{4}-[A-Z]+-[A-Z]+-[0-9]+"
 
@@ -57,21 +63,51 @@ def _fold_table(form, dropped):
     return "".join(single) + "".join(removed), "".join(single.values()), expansions
 
 
+@lru_cache(maxsize=None)
+def _expansion_pages(form, dropped):
+    """(page numbers, entries): the expansions as pages of 256 code points, for ``_expanded``.
+
+    The page of a code point is looked up by its high bits (-1: no page), the entry by page and low bits; a character
+    without expansion is its own entry. ASCII is not looked up, and Hangul syllables are left to arithmetic.
+    """
+    _, _, expansions = _fold_table(form, dropped)
+    points = {ord(k): v for k, v in expansions.items() if not _FIRST_SYLLABLE <= ord(k) <= _LAST_SYLLABLE}
+    pages = sorted({cp >> _PAGE_BITS for cp in points})
+    numbers = [-1] * (max(pages, default=-1) + 1)
+    entries = []
+    for n, page in enumerate(pages):
+        numbers[page] = n
+        low = page << _PAGE_BITS
+        entries += [points.get(cp, chr(cp) if cp > 0x7F else "") for cp in range(low, low + (1 << _PAGE_BITS))]
+    return ",".join(map(str, numbers)), _ENTRY_END.join(entries)
+
+
+def _expanded(letter: Column, form: str, dropped: str) -> Column:
+    """One character as its expansion, in constant time whatever the script."""
+    numbers, entries = _expansion_pages(form, dropped)
+    # Both lists are split while the plan is made and are literals from then on.
+    pages = F.split(F.lit(numbers), ",").cast("array<int>")
+    table = F.split(F.lit(entries), _ENTRY_END)
+    cp = F.ascii(letter)
+    at = F.get(pages, F.shiftright(cp, _PAGE_BITS)) * (1 << _PAGE_BITS) + cp.bitwiseAND((1 << _PAGE_BITS) - 1)
+    mapped = F.coalesce(F.get(table, at), letter)
+    if dropped == "non_ascii":
+        return mapped
+    s = cp - _FIRST_SYLLABLE
+    jamo = F.concat(*[F.substring(F.lit(row), (n + 1).cast("int"), F.lit(1)) for row, n in zip(_JAMO, (s / 588, s % 588 / 28))])
+    tail = F.when(s % 28 > 0, F.substring(F.lit(_JAMO[2]), s % 28, F.lit(1))).otherwise("")
+    return F.when((s >= 0) & (cp <= _LAST_SYLLABLE), F.concat(jamo, tail)).otherwise(mapped)
+
+
 def _fold(c: Column, form: str, dropped: str) -> Column:
     """Decompose and drop characters; meant for values that are not plain ASCII."""
     source, target, expansions = _fold_table(form, dropped)
 
     def rule(text):
         if expansions:
-            # Ligatures, fractions and the like turn into several characters; no Latin-1 letter does. Only values
-            # beyond that take this branch, and only their non-ASCII characters are looked up. The map is one
-            # literal to Spark.
-            pairs = "\x01".join(k + "\x02" + v for k, v in expansions.items())
-            lookup = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
-            letters = F.transform(
-                F.split(text, ""),
-                lambda x: F.when(x < F.lit("\x80"), x).otherwise(F.coalesce(F.try_element_at(lookup, x), x)),
-            )
+            # Ligatures, fractions, syllables and the like turn into several characters; no Latin-1 letter does. Only
+            # values beyond that take this branch, and only their non-ASCII characters are looked up.
+            letters = F.transform(F.split(text, ""), lambda x: F.when(x < F.lit("\x80"), x).otherwise(_expanded(x, form, dropped)))
             text = F.when(text.rlike(_BEYOND_LATIN1), F.array_join(letters, "")).otherwise(text)
         text = F.translate(text, source, target)
         return F.regexp_replace(text, _NON_ASCII, "") if dropped == "non_ascii" else text

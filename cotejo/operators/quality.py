@@ -39,10 +39,19 @@ def union_all(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _problem_cells(case, key, kind, detail):
+    values = (case.cast("string"), key.cast("string"), F.lit(kind), detail)
+    return [v.alias(n) for v, n in zip(values, PROBLEM_COLUMNS)]
+
+
+def problem(case, key, kind: str, detail):
+    """One problem row as a struct, for lists that are ``inline``d."""
+    return F.struct(*_problem_cells(case, key, kind, detail))
+
+
 def problems(df: DataFrame, case, key, kind: str, detail) -> DataFrame:
     """Rows of ``df`` as problem rows."""
-    values = (case.cast("string"), key.cast("string"), F.lit(kind), detail)
-    return df.select(*[v.alias(n) for v, n in zip(values, PROBLEM_COLUMNS)])
+    return df.select(*_problem_cells(case, key, kind, detail))
 
 
 def log_rows(df: DataFrame, run_text: str, action, table: str, key, detail) -> DataFrame:

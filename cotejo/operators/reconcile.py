@@ -77,15 +77,26 @@ def _fitting(raw, old, kind):
     return F.when(raw.isNotNull() & value.isNull(), old).otherwise(value)
 
 
-def values_not_valid(target: DataFrame, winners: DataFrame, row_id="oid") -> DataFrame:
-    """EXPEDIENTE_KEY, CAMPO, VALOR: staged values that do not fit their target column and so were not taken over."""
+def _may_not_fit(source, target):
+    """Casting ``source`` to ``target`` can fail; text and equal types always fit."""
+    return source != target and target.simpleString() != "string"
+
+
+def unfit_cells(target: DataFrame, winners: DataFrame, row_id="oid"):
+    """Column expression over ``winners``: array of (CAMPO, VALOR), the staged values the target's types cannot hold."""
     types = {f.name: f.dataType for f in target.schema.fields}
+    staged = {f.name: f.dataType for f in winners.schema.fields}
     cells = [
         F.when(F.col(s).isNotNull() & F.col(s).try_cast(types[t]).isNull(), F.struct(F.lit(t).alias("CAMPO"), F.col(s).cast("string").alias("VALOR")))
         for t, s in S.transfer_pairs(target, winners, row_id)
+        if _may_not_fit(staged[s], types[t])
     ]
-    wrong = F.array_compact(F.array(*cells)) if cells else F.array().cast("array<struct<CAMPO:string,VALOR:string>>")
-    return winners.select(S.KEY, F.inline(wrong))
+    return F.array_compact(F.array(*cells)) if cells else F.array().cast("array<struct<CAMPO:string,VALOR:string>>")
+
+
+def values_not_valid(target: DataFrame, winners: DataFrame, row_id="oid") -> DataFrame:
+    """EXPEDIENTE_KEY, CAMPO, VALOR: staged values that do not fit their target column and so were not taken over."""
+    return winners.select(S.KEY, F.inline(unfit_cells(target, winners, row_id)))
 
 
 def _changes(target, pairs, types):
@@ -192,14 +203,6 @@ def newly_archived(winners: DataFrame, base: DataFrame, row_id="oid") -> DataFra
     )
 
 
-def archive_counts(winners: DataFrame, base: DataFrame, row_id="oid") -> DataFrame:
-    """One row: how many winners have no polygon, and how many are newly archived, from one join."""
-    staged, state = _archive_states(winners, base, row_id)
-    joined = staged.join(state, S.KEY, "left")
-    archived = (F.col("ESTADO_EXCEL_NUEVO") == ARCHIVED) & (F.col("ESTADO_GIS_ACTUAL") != ARCHIVED)
-    return joined.agg(F.count_if(F.col(row_id).isNull()).alias("without_polygon"), F.count_if(archived).alias("archived"))
-
-
 def staged_without_polygon(winners: DataFrame, base: DataFrame) -> DataFrame:
     case, status = S.case_column(winners), S.find_status(winners)
     shown = F.lit(None).cast("string") if status is None else F.col(status)
@@ -208,6 +211,28 @@ def staged_without_polygon(winners: DataFrame, base: DataFrame) -> DataFrame:
     )
 
 
+def staged_key_facts(stage: DataFrame, base: DataFrame, targets: dict, row_id="oid") -> DataFrame:
+    """What the checks ask of every staged key, from one aggregate of the sheet and one join.
+
+    EXPEDIENTE_KEY, CANTIDAD (staged rows), the winner's EXPEDIENTE, ESTADO_EXCEL and ESTADO_EXCEL_NUEVO (folded), ESTADO_GIS_ACTUAL
+    (folded status of the polygon before the run; null without a polygon) and per name in ``targets`` an array of unfit cells.
+    The last staged row is found by the aggregate itself, task by task first, so a hot key does not meet in one task.
+    """
+    case, status = S.case_column(stage), S.find_status(stage)
+    shown = F.lit(None).cast("string") if status is None else F.col(status).cast("string")
+    unfit = {name: unfit_cells(target, stage, row_id) for name, target in targets.items()}
+    last = F.struct(F.col(case).alias("case"), shown.alias("status"), *[c.alias(name) for name, c in unfit.items()])
+    keys = stage.where(_has_key()).groupBy(S.KEY).agg(F.count("*").alias("CANTIDAD"), F.max_by(last, "row_seq").alias("_last"))
+    base_status = S.find_status(base)
+    before = F.lit("") if base_status is None else fold_key(base_status)
+    polygons = drop_duplicates(base.where(_has_key()), row_id).select(S.KEY, before.alias("ESTADO_GIS_ACTUAL"))
+    return keys.join(polygons, S.KEY, "left").select(
+        S.KEY, "CANTIDAD", F.col("_last.case").alias(S.CASE), F.col("_last.status").alias("ESTADO_EXCEL"),
+        (F.lit("") if status is None else fold_key("_last.status")).alias("ESTADO_EXCEL_NUEVO"), "ESTADO_GIS_ACTUAL",
+        *[F.col("_last")[name].alias(name) for name in unfit],
+    )
+
+
 def polygons_not_staged(base: DataFrame, stage: DataFrame) -> DataFrame:
     """Every polygon row whose key is not staged; blank keys are left out."""
     return not_in_keys(base.where(_has_key()), keys_of(stage, S.KEY), S.KEY)

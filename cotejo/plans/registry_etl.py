@@ -32,6 +32,7 @@ MESSAGES = {
     "EXCEL_SIN_CM_BASE": "Existe en Excel pero no en CM_BASE. Estado Excel='%s'",
     "ATRIBUTO_SIN_DATOS": "No vino en Excel actual",
     "CM_BASE_SIN_EXCEL": "Existe en CM_BASE pero no vino en Excel actual",
+    "VALOR_NO_VALIDO": "Tabla=%s Campo=%s Valor='%s'",
 }
 
 # Metric -> what it counts: a problem kind, an action of the attribute (A) or polygon (B) log, or polygon rows (R).
@@ -42,6 +43,7 @@ COUNTED_METRICS = {
     "CM_BASE_SIN_EXCEL": "P:CM_BASE_SIN_EXCEL",
     "EXCEL_SIN_CM_BASE": "P:EXCEL_SIN_CM_BASE",
     "SKIPS_STAGING_SIN_LLAVE": "P:LLAVE_VACIA",
+    "VALORES_NO_VALIDOS": "P:VALOR_NO_VALIDO",
     "CM_ATRIBUTOS_DUPLICADOS_ELIMINADOS": "A:DELETE_DUP",
     "CM_BASE_DUPLICADOS_ELIMINADOS": "B:DELETE_DUP",
     "CM_ATRIBUTOS_UPDATES": "A:UPDATE",
@@ -164,45 +166,64 @@ class RegistryRun:
             ]
         )
 
+    @cached_property
+    def key_facts(self) -> DataFrame:
+        """One row per staged key, for the checks that need more than the row itself."""
+        return R.staged_key_facts(self.stage, self.base_before, {"_A": self.attr_before, "_B": self.base_before}, self.row_id)
+
+    def _key_problems(self):
+        """Array of problem structs over ``key_facts``."""
+        key, has_polygon = F.col(S.KEY), F.col("ESTADO_GIS_ACTUAL").isNotNull()
+        archived = (F.col("ESTADO_EXCEL_NUEVO") == R.ARCHIVED) & (F.col("ESTADO_GIS_ACTUAL") != R.ARCHIVED)
+        single = [
+            (F.col("CANTIDAD") > 1, "DUPLICADO_ORIGEN", F.lit(""), F.format_string(MESSAGES["DUPLICADO_ORIGEN"], "CANTIDAD")),
+            (archived, "NUEVO_ARCHIVADO", F.col(S.CASE), F.format_string(MESSAGES["NUEVO_ARCHIVADO"], "ESTADO_GIS_ACTUAL", "ESTADO_EXCEL_NUEVO")),
+            (
+                ~has_polygon, "EXCEL_SIN_CM_BASE", F.col(S.CASE),
+                F.format_string(MESSAGES["EXCEL_SIN_CM_BASE"], F.coalesce(F.col("ESTADO_EXCEL"), F.lit("None"))),
+            ),
+        ]
+        one = [F.when(test, Q.problem(case, key, kind, detail)) for test, kind, case, detail in single]
+
+        def unfit(name, table, cells):
+            text = lambda x: F.format_string(MESSAGES["VALOR_NO_VALIDO"], F.lit(table), x["CAMPO"], x["VALOR"])
+            return F.transform(cells, lambda x: Q.problem(F.col(S.CASE), key, "VALOR_NO_VALIDO", text(x)))
+
+        # Only rows with a polygon are written to the polygon table.
+        in_base = F.when(has_polygon, F.col("_B")).otherwise(F.slice("_B", 1, 0))
+        more = [unfit("_A", self.info.attr_table, F.col("_A")), unfit("_B", self.info.base_table, in_base)]
+        return F.concat(F.array_compact(F.array(*one)), *more)
+
     def problems(self) -> DataFrame:
-        """One list from the seven detectors."""
-        key, nothing = F.col(S.KEY), F.lit("")
-        case = S.case_column(self.stage)
-        staged_status = F.coalesce(F.col("ESTADO_EXCEL"), F.lit("None"))
+        """One list of all problems: what a staged row shows, what a staged key shows, and what is no longer staged."""
+        nothing, key = F.lit(""), F.col(S.KEY)
+        case, status = F.col(S.case_column(self.stage)), S.find_status(self.stage)
+        blank = F.lit(False) if status is None else is_blank(status)
+        of_row = [
+            F.when(blank, Q.problem(case, key, "ESTADO_VACIO", F.lit(MESSAGES["ESTADO_VACIO"]))),
+            F.when(key == "", Q.problem(case, nothing, "LLAVE_VACIA", F.lit(MESSAGES["LLAVE_VACIA"]))),
+        ]
         lapsed = self.attr_rows.where(F.col("ACCION") == "SET_SIN_DATOS")
-        parts = {
-            "DUPLICADO_ORIGEN": (Q.repeated_keys(self.stage), nothing, key, F.format_string(MESSAGES["DUPLICADO_ORIGEN"], "CANTIDAD")),
-            "ESTADO_VACIO": (self.blank_statuses(), F.col(S.CASE), key, F.lit(MESSAGES["ESTADO_VACIO"])),
-            "LLAVE_VACIA": (Q.blank_keys(self.stage), F.col(case), nothing, F.lit(MESSAGES["LLAVE_VACIA"])),
-            "NUEVO_ARCHIVADO": (
-                self.archived(), F.col(S.CASE), key,
-                F.format_string(MESSAGES["NUEVO_ARCHIVADO"], "ESTADO_GIS_ACTUAL", "ESTADO_EXCEL_NUEVO"),
-            ),
-            "EXCEL_SIN_CM_BASE": (
-                self.without_polygon(), F.col("EXPEDIENTE_EXCEL"), key,
-                F.format_string(MESSAGES["EXCEL_SIN_CM_BASE"], staged_status),
-            ),
-            "ATRIBUTO_SIN_DATOS": (
-                lapsed, nothing, F.coalesce(key, nothing), F.lit(MESSAGES["ATRIBUTO_SIN_DATOS"]),
-            ),
-            "CM_BASE_SIN_EXCEL": (
-                self.not_staged(), F.col("EXPEDIENTE_CM_BASE"), key, F.lit(MESSAGES["CM_BASE_SIN_EXCEL"]),
-            ),
-        }
-        return Q.union_all([Q.problems(df, c, k, kind, detail) for kind, (df, c, k, detail) in parts.items()])
+        return Q.union_all([
+            self.stage.select(F.inline(F.array_compact(F.array(*of_row)))),
+            self.key_facts.select(F.inline(self._key_problems())),
+            Q.problems(lapsed, nothing, F.coalesce(key, nothing), "ATRIBUTO_SIN_DATOS", F.lit(MESSAGES["ATRIBUTO_SIN_DATOS"])),
+            Q.problems(self.not_staged(), F.col("EXPEDIENTE_CM_BASE"), key, "CM_BASE_SIN_EXCEL", F.lit(MESSAGES["CM_BASE_SIN_EXCEL"])),
+        ])
 
     def _counts(self) -> DataFrame:
         """_what, _n as in COUNTED_METRICS. Every frame is reduced to counts where it is read; no list is built."""
         key, has_key = F.col(S.KEY), F.coalesce(F.col(S.KEY) != "", F.lit(False))
         status = S.find_status(self.stage)
         blank = F.lit(False) if status is None else is_blank(status)
-        per_key = self.stage.groupBy(S.KEY).agg(F.count("*").alias("n"), F.count_if(blank).alias("blank"))
-        staged = per_key.agg(
-            F.count_if(has_key & (F.col("n") > 1)).alias("P:DUPLICADO_ORIGEN"), F.sum("blank").alias("P:ESTADO_VACIO"),
-            F.sum(F.when(key == "", F.col("n"))).alias("P:LLAVE_VACIA"),
+        staged = self.stage.agg(F.count_if(blank).alias("P:ESTADO_VACIO"), F.count_if(key == "").alias("P:LLAVE_VACIA"))
+        has_polygon = F.col("ESTADO_GIS_ACTUAL").isNotNull()
+        keyed = self.key_facts.agg(
+            F.count_if(F.col("CANTIDAD") > 1).alias("P:DUPLICADO_ORIGEN"), F.count_if(~has_polygon).alias("P:EXCEL_SIN_CM_BASE"),
+            F.count_if((F.col("ESTADO_EXCEL_NUEVO") == R.ARCHIVED) & (F.col("ESTADO_GIS_ACTUAL") != R.ARCHIVED)).alias("P:NUEVO_ARCHIVADO"),
+            F.sum(F.size("_A") + F.when(has_polygon, F.size("_B")).otherwise(0)).alias("P:VALOR_NO_VALIDO"),
         )
-        matched = R.archive_counts(self.winners, self.base_kept, self.row_id)
-        parts = [staged, matched.toDF("P:EXCEL_SIN_CM_BASE", "P:NUEVO_ARCHIVADO")]
+        parts = [staged, keyed]
         for mark, target in (("A", self.attr_before), ("B", self.base_before)):
             copies = target.where(has_key).groupBy(S.KEY).agg((F.count("*") - 1).alias("n"))
             parts.append(copies.agg(F.sum("n").alias(f"{mark}:DELETE_DUP")))

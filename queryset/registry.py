@@ -164,6 +164,14 @@ UNION ALL SELECT '', EXPEDIENTE_KEY, 'ATRIBUTO_SIN_DATOS', 'No vino en Excel act
 UNION ALL SELECT EXPEDIENTE_CM_BASE, EXPEDIENTE_KEY, 'CM_BASE_SIN_EXCEL', 'Existe en CM_BASE pero no vino en Excel actual' FROM not_staged""",
 )
 
+# Winners of the sheet with typed areas that neither table's AREA can hold; the polygon table gets those with a polygon.
+_UNFIT = (
+    "unfit",
+    "SELECT EXPEDIENTE, EXPEDIENTE_KEY, 'VALOR_NO_VALIDO' AS TIPO_PROBLEMA, 'Tabla=' || t || ' Campo=AREA Valor=' || chr(39) || AREA || chr(39) AS DETALLE "
+    "FROM win, (SELECT unnest(['CM_ATRIBUTOS', 'CM_BASE']) AS t) WHERE AREA IS NOT NULL AND TRY_CAST(AREA AS DOUBLE) IS NULL "
+    "AND (t = 'CM_ATRIBUTOS' OR EXPEDIENTE_KEY IN (SELECT EXPEDIENTE_KEY FROM base_keyed))",
+)
+
 _ATTR_STEPS = (_KEYED, _WINNERS, _ATTR_RANKED, _ATTR, _ATTR_ROWS)
 _BASE_STEPS = (_KEYED, _WINNERS, _BASE_KEYED, _BASE_RANKED, _BASE, _BASE_ROWS)
 _ALL_STEPS = (
@@ -184,17 +192,25 @@ def _all_sql(body, *more):
     return with_views(body, "stage_reg", "target_attr", "target_base", extra=(*_ALL_STEPS, *more))
 
 
+def _text_sql(body, *more):
+    """The whole run over the sheet with typed areas: a value that does not fit leaves the stored one."""
+    sql = with_views(body, "stage_text", "target_attr", "target_base", extra=(*_ALL_STEPS, _UNFIT, *more)).replace("FROM stage_reg", "FROM stage_text")
+    return sql.replace("s.AREA IS DISTINCT FROM", "coalesce(TRY_CAST(s.AREA AS DOUBLE), t.AREA) IS DISTINCT FROM").replace(
+        "THEN s.AREA ELSE", "THEN coalesce(TRY_CAST(s.AREA AS DOUBLE), t.AREA) ELSE"
+    )
+
+
 def _stage(spark, sf_dir):
     return R.with_key(spark_view(spark, sf_dir, "stage_reg"))
 
 
-def _run(spark, sf_dir, **options):
-    return RegistryRun(*[spark_view(spark, sf_dir, v) for v in ("stage_reg", "target_attr", "target_base")], INFO, **options)
+def _run(spark, sf_dir, sheet="stage_reg", **options):
+    return RegistryRun(*[spark_view(spark, sf_dir, v) for v in (sheet, "target_attr", "target_base")], INFO, **options)
 
 
-def _stored_run(spark, sf_dir):
+def _stored_run(spark, sf_dir, sheet="stage_reg"):
     """For reports that read the staged rows and both snapshots several times: each is computed once and stored."""
-    return _run(spark, sf_dir, materialize=lambda name, df: stored(df))
+    return _run(spark, sf_dir, sheet, materialize=lambda name, df: stored(df))
 
 
 @query(_attr_sql("SELECT coalesce(ACCION, 'SIN_ACCION') AS ACCION, count(*) AS CANTIDAD FROM attr_rows GROUP BY 1"))
@@ -325,6 +341,17 @@ def problem_list(spark, sf_dir):
     return _stored_run(spark, sf_dir).problems()
 
 
+@query(_text_sql("SELECT * FROM problems UNION ALL SELECT * FROM unfit", _PROBLEMS))
+def problem_list_of_typed_areas(spark, sf_dir):
+    """Staged areas that the number columns of both tables cannot hold are problems, not silence."""
+    return _stored_run(spark, sf_dir, "stage_text").problems()
+
+
+@query(_text_sql("SELECT * FROM attr_rows"))
+def upserted_typed_areas(spark, sf_dir):
+    return _run(spark, sf_dir, "stage_text").attr_rows
+
+
 def _metric(name, count):
     return f"SELECT '{name}' AS METRICA, CAST(({count}) AS VARCHAR) AS VALOR"
 
@@ -333,9 +360,13 @@ def _n(table, condition):
     return f"SELECT count(*) FROM {table} WHERE {condition}"
 
 
-_METRICS = " UNION ALL ".join(
-    ["SELECT 'HOJA_USADA' AS METRICA, 'Hoja1' AS VALOR", "SELECT 'CM_ATRIBUTOS', 'CM_ATRIBUTOS'", "SELECT 'CM_BASE', 'CM_BASE'"]
-    + [
+def _metrics(unfit):
+    return " UNION ALL ".join([*_METRICS, _metric("VALORES_NO_VALIDOS", unfit)])
+
+
+_METRICS = [
+    *["SELECT 'HOJA_USADA' AS METRICA, 'Hoja1' AS VALOR", "SELECT 'CM_ATRIBUTOS', 'CM_ATRIBUTOS'", "SELECT 'CM_BASE', 'CM_BASE'"],
+    *[
         _metric("DUPLICADOS_ORIGEN", _n("dups", "true")),
         _metric("ESTADOS_VACIOS", _n("blanks", "true")),
         _metric("NUEVOS_ARCHIVADO", _n("archived", "true")),
@@ -352,15 +383,20 @@ _METRICS = " UNION ALL ".join(
         _metric("CM_BASE_INSERTS", "SELECT 0"),
         _metric("CM_BASE_NOCHANGE", _n("base_rows", "ACCION = 'NOCHANGE'")),
         _metric("CM_BASE_SET_SIN_DATOS", _n("base_rows", "ACCION = 'SET_SIN_DATOS'")),
-    ]
-)
+    ],
+]
 
 
-@query(_all_sql(_METRICS))
+@query(_all_sql(_metrics("SELECT 0")))
 def run_metrics(spark, sf_dir):
     return _stored_run(spark, sf_dir).summary()
 
 
+@query(_text_sql(_metrics(_n("unfit", "true"))))
+def run_metrics_of_typed_areas(spark, sf_dir):
+    return _stored_run(spark, sf_dir, "stage_text").summary()
+
+
 @query(
     with_views(
         f"SELECT '{RUN_TEXT}' AS FECHA_EJECUCION, "

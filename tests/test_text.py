@@ -1,4 +1,5 @@
 import re
+import time
 import unicodedata
 
 from hypothesis import given, settings
@@ -99,3 +100,34 @@ def test_status_and_blank(spark):
     df = spark.createDataFrame([(None,), (" \t",), (" x",)], "e string")
     assert [r[0] for r in df.select(X.status_label("e")).collect()] == ["SIN_ESTADO", "SIN_ESTADO", " x"]
     assert rows(df.select(F.count_if(X.is_blank("e")))) == [(2,)]
+
+
+def test_every_character_with_a_page_or_a_syllable(spark):
+    """Each character by itself, over all blocks that hold decompositions."""
+    spans = (range(0x80, 0x3400), range(0xA600, 0xAC00), range(0xAC00, 0xD7A4, 5), range(0xF900, 0x10000), range(0x11000, 0x11A00), range(0x1D000, 0x1F300), range(0x2F800, 0x2FA20))
+    values = [chr(c) for span in spans for c in span]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    folded = X._fold(F.col("v"), "NFKD", "marks").alias("k")
+    for v, k, a, b in df.select("v", folded, X.fold_ascii("v"), X.drop_accents("v")).collect():
+        assert k == "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)), hex(ord(v))
+        assert (a, b) == (ascii_text(v), bare(v)), hex(ord(v))
+
+
+def test_folds_cost_the_same_in_every_script(spark):
+    """0.4 M characters a script; the Latin time decides, with slack for a busy machine."""
+    def seconds(first, fold):
+        texts = [("".join(chr(first + (i * 7 + j) % 20) for j in range(2000)),) for i in range(200)]
+        df = spark.createDataFrame(texts, "v string").repartition(4).cache()
+        df.count()
+        taken = []
+        for _ in range(3):
+            start = time.perf_counter()
+            df.select(F.sum(F.length(fold("v")))).collect()
+            taken.append(time.perf_counter() - start)
+        df.unpersist()
+        return min(taken)
+
+    for fold in (X.fold_key, X.drop_accents):
+        latin = seconds(0xE0, fold)
+        for first in (0x430, 0x3041, 0x4E00, 0xAC00):
+            assert seconds(first, fold) < 3 * latin + 1.0, hex(first)
