@@ -55,10 +55,15 @@ def consolidation_report(spark, folder, user, year, out_dir, subject, first_mont
     sheets, rejects = read_folder(spark, folder, fmt, skip_prefix=[OWN_CONSOLIDATION])
     if not sheets:
         raise RegistryError(f"no sheets in {folder}")
-    # Input order is file order, then the position in the file.
-    order = F.struct(F.col("_source_file"), F.monotonically_increasing_id().alias("n"))
-    rows = stored(A.consolidate([s.withColumn("_order", order) for s in sheets], user, drop))
-    out = {"DATOS": A.by_date(rows.drop("_ORDER", "_SOURCE_FILE"))} if "FECHA" in rows.columns else {"DATOS": rows.drop("_ORDER", "_SOURCE_FILE")}
+
+    def order(sheet):
+        """Input order is file order, then the position in the file."""
+        place = F.col("_source_row") if "_source_row" in sheet.columns else F.monotonically_increasing_id()
+        return F.struct(F.col("_source_file"), place.alias("n"))
+
+    rows = stored(A.consolidate([s.withColumn("_order", order(s)) for s in sheets], user, drop))
+    data = rows.drop("_ORDER", "_SOURCE_FILE", "_SOURCE_ROW")
+    out = {"DATOS": A.by_date(data) if "FECHA" in rows.columns else data}
     if "FECHA" in rows.columns:
         month = A.first_month(rows, order="_ORDER") if first_month else A.most_frequent_month(rows)
         out["TITULO"] = A.title_from_month(month, subject, year, A.UNKNOWN_MONTH if first_month else "")

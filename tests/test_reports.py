@@ -197,6 +197,66 @@ def test_cells_with_line_breaks(spark, tmp_path):
     assert rows(sheets.read_sheet(spark, str(tmp_path / "s.csv")), "A", "B") == [("tres", "2"), ("uno\ndos", "1")]
 
 
+def test_large_quoted_csv_is_split(spark, tmp_path):
+    """Many splits in the middle of cells give what one whole-file reader gives, in file order, with damaged rows apart."""
+    import csv
+    import random
+
+    r = random.Random(7)
+    cell = lambda: "".join(r.choice(["a", "ñ", ",", '"', "\n", "\r\n", " ", "x", ""]) for _ in range(r.randint(0, 14)))
+    table = [(cell(), cell(), str(i)) for i in range(400)]
+    path = tmp_path / "in" / "a b+c #1.csv"
+    path.parent.mkdir()
+    with path.open("w", newline="", encoding="utf8") as f:
+        f.write("\ufeff\n")
+        writer = csv.writer(f, lineterminator="\r\n")
+        writer.writerows([("A", "B\nzwei", "N"), *table])
+    put(tmp_path / "in" / "long.csv", "A,N\n1,2\n1,2,3\n\n4\n5,6\n\"7,8\n9,10\n")
+    put(tmp_path / "in" / "empty.csv", "")
+    small = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 30
+        sheet = sheets.read_sheet(spark, str(path), order="place")
+        want = [tuple(v or None for v in t) for t in table]
+        assert [tuple(x)[:3] for x in sheet.orderBy("place").collect()] == want and sheet.columns == ["A", "B\nzwei", "N", "place"]
+        plain = tmp_path / "plain.csv"
+        with plain.open("w", newline="", encoding="utf8") as f:
+            csv.writer(f, lineterminator="\n").writerows([("A", "B", "N"), *[tuple(v.replace("\r", "") for v in t) for t in table]])
+        whole = spark.read.options(header=True, multiLine=True, escape='"').csv(str(plain))
+        assert rows(sheets.read_sheet(spark, str(plain))) == rows(whole)
+        good, bad = sheets.read_sheet_with_rejects(spark, str(tmp_path / "in" / "long.csv"))
+        assert rows(good) == sorted([("1", "2"), ("4", None), ("5", "6")], key=str)
+        assert sorted(x.reason.split(": ")[1] for x in bad.collect()) == ["3 cells, 2 columns", "a quote is not closed", "a quote is not closed"]
+        found, rejects = sheets.read_folder(spark, str(tmp_path / "in"))
+        assert sorted((tuple(df.columns), df.count()) for df in found) == [(("A", "B\nzwei", "N", "_source_file", "_source_row"), 400), (("A", "N", "_source_file", "_source_row"), 3)]
+        names = sorted((x.path.rsplit("/", 1)[1], x.reason.split(": ")[-1]) for x in rejects.collect())
+        assert names == [("empty.csv", "no header"), ("long.csv", "3 cells, 2 columns"), ("long.csv", "a quote is not closed"), ("long.csv", "a quote is not closed")]
+        assert {x[0] for x in found[0].select("_source_file").distinct().collect()} <= {"a b+c #1.csv", "long.csv"}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_folder_is_read_without_a_job_per_file(spark, tmp_path):
+    """The jobs of reading a folder do not grow with its files."""
+    def jobs(n):
+        folder = tmp_path / f"d{n}"
+        for i in range(n):
+            put(folder / f"f{i}.csv", f"A,B\n{i},x\n" if i % 2 else f"A,C\n{i},y\n")
+        group = f"folder-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        found, _ = sheets.read_folder(spark, str(folder))
+        total = sum(df.count() for df in found)
+        spark.sparkContext.setJobGroup("", "")
+        assert total == n and len(found) == 2
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(60) <= jobs(6) + 2
+
+
 def test_files_and_inventory(spark, tmp_path):
     base = tmp_path / "docs"
     put(base / "x" / "N-1_tema_2026-CAN-PRI-1.pdf", "a")
