@@ -7,7 +7,8 @@ from cotejo.errors import RegistryError, require_columns
 from cotejo.functions.predicates import status_exportable_lenient, status_exportable_strict
 from cotejo.operators.classify import GROUP
 from cotejo.operators.schema import find_ignoring_case, pick_wanted, short_names
-from cotejo.sources.reports import write_table
+from cotejo.sources.durable import stored
+from cotejo.sources.reports import run_stamp, write_table
 
 # Groups exported one by one (fixed values).
 EXPORT_GROUPS = ("METALICOS", "NO_METALICOS", "PERMISO_ESPECIAL")
@@ -47,10 +48,20 @@ def single_export(df: DataFrame):
     return rows.select(*[F.col(name).alias(short) for name, short in plan]), plan, missing
 
 
-def write_single_export(df: DataFrame, path: str, fmt="parquet"):
-    """Write the filtered export; an error if the filter leaves no row."""
+def name_map(df: DataFrame, plan, missing) -> DataFrame:
+    """CAMPO, NOMBRE_CORTO, TIPO of the exported columns, and the wanted ones not found (without a short name)."""
+    kinds = {c.name.upper(): c.dataType.simpleString() for c in df.schema.fields}
+    lines = [(name, short, kinds.get(name.upper())) for name, short in plan] + [(name, None, None) for name in missing]
+    return df.sparkSession.createDataFrame(lines, "CAMPO string, NOMBRE_CORTO string, TIPO string")
+
+
+def write_single_export(df: DataFrame, path: str, fmt="parquet", run_ts=None):
+    """Write the filtered export; an error if the filter leaves no row. With ``run_ts`` its name map is written beside it."""
     rows, plan, missing = single_export(df)
+    rows = stored(rows)  # evaluated once, whether there is a row and for the output
     if rows.isEmpty():
         raise RegistryError("no rows to export after leaving out archived and unlocated ones")
     write_table(rows, path, fmt)
+    if run_ts is not None:
+        write_table(name_map(df, plan, missing).coalesce(1), f"{path.rstrip('/')}_CAMPOS_{run_stamp(run_ts)}", "csv")
     return plan, missing

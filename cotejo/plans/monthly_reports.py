@@ -10,6 +10,7 @@ from cotejo.operators import activity as A
 from cotejo.operators import meetings as M
 from cotejo.sources.durable import stored
 from cotejo.sources.files import list_files
+from cotejo.sources.publish import Publication
 from cotejo.sources.reports import write_report, write_table
 from cotejo.sources.sheets import read_folder, read_sheet
 
@@ -72,9 +73,10 @@ def consolidation_report(spark, folder, user, year, out_dir, subject, first_mont
 
 def meeting_report(meetings: DataFrame, year, month, out_dir, fmt="parquet"):
     """Detalle and Resumen of the month's meetings."""
-    detail = M.held_meetings(meetings, year, month)
-    if detail.isEmpty():
+    report = Publication(meetings.sparkSession, f"{out_dir.rstrip('/')}/Reporte_Reuniones_{year}_{month:02d}", replace=True)
+    detail = report.write("Detalle", M.held_meetings(meetings, year, month), fmt)
+    if not report.rows("Detalle"):
         raise RegistryError(f"no meetings in {year}-{month:02d}")
-    folder = f"{out_dir.rstrip('/')}/Reporte_Reuniones_{year}_{month:02d}"
-    written = write_report({"Detalle": detail}, folder, fmt, overwrite=True)
-    return write_report({"Resumen": M.meeting_totals(written["Detalle"])}, folder, fmt, overwrite=True)
+    summary = report.write("Resumen", M.meeting_totals(detail), fmt)
+    report.commit()
+    return {"Detalle": detail, "Resumen": summary}

@@ -42,9 +42,9 @@ def report_overlaps(parcels: DataFrame, ids: DataFrame, out_dir: str, run_ts, **
 def add_and_report(base: DataFrame, candidates: DataFrame, attributes: DataFrame, out_dir: str, run_ts, **options):
     """Append the valid new parcels; write TRASLAPES if they overlap any. Returns the new parcel table."""
     id_col = options.get("id_col", "EXPEDIENTE")
-    accepted = O.acceptable(candidates, id_col)
+    accepted = stored(O.acceptable(candidates, id_col))
     if accepted.isEmpty():
         raise RegistryError("no candidate parcel has an acceptable id")
     found = O.overlaps_of_new(accepted, base, attributes, **options).drop("oid")
     write_report({"TRASLAPES": found}, f"{out_dir.rstrip('/')}/TRASLAPES_{run_stamp(run_ts)}", skip_empty=("TRASLAPES",))
-    return O.add_parcels(base, candidates, id_col)
+    return base.unionByName(accepted, allowMissingColumns=True)

@@ -13,7 +13,8 @@ from cotejo.functions.text import is_blank
 from cotejo.operators import quality as Q
 from cotejo.operators import reconcile as R
 from cotejo.operators import schema as S
-from cotejo.sources.reports import read_table, run_folder, write_report, write_table
+from cotejo.sources.publish import Publication
+from cotejo.sources.reports import run_folder
 
 # Texts of log and problem rows (fixed values).
 MESSAGES = {
@@ -281,32 +282,26 @@ def gate_summary(stage, attr, info: RunInfo) -> DataFrame:
 
 
 def run_registry_etl(stage, attr, base, info: RunInfo, out_dir, row_id="oid", on_duplicates="last_wins"):
-    """Run and write: new snapshots of both tables and the report, under one folder for the run.
+    """Run and write: new snapshots of both tables and the report, published together under one folder for the run.
 
     Winners and both classified snapshots are written first and every sheet is derived from the files, so that
-    nothing is computed twice and the sheets agree. With ``on_duplicates="fail"`` duplicate keys stop the run: only
-    the duplicates and the summary are written, and the tables stay as they are.
+    nothing is computed twice and the sheets agree. Readers see the run when all of it is there; one that died half-way may be
+    run again with the same time. With ``on_duplicates="fail"`` duplicate keys stop the run: only the duplicates and the
+    summary are written, and the tables stay as they are.
     """
     if on_duplicates not in ("last_wins", "fail"):
         raise RegistryError(f"on_duplicates must be last_wins or fail, got {on_duplicates}")
-    spark = stage.sparkSession
     folder = run_folder(out_dir, info.run_ts)
+    report = Publication(stage.sparkSession, folder)
     if on_duplicates == "fail":
-        duplicates = Q.duplicate_keys(R.with_key(stage))
-        if not duplicates.isEmpty():
-            if attr is None:
-                attr = S.empty_target(R.with_key(stage), row_id)
-            sheets = {"RESUMEN": gate_summary(stage, attr, info), "DUPLICADOS_ORIGEN": duplicates}
-            write_report(sheets, folder)
+        keyed = R.with_key(stage)
+        report.write("DUPLICADOS_ORIGEN", Q.duplicate_keys(keyed))
+        if report.rows("DUPLICADOS_ORIGEN"):
+            report.write("RESUMEN", gate_summary(stage, S.empty_target(keyed, row_id) if attr is None else attr, info))
+            report.commit()
             raise RegistryError(f"duplicate keys in the source; see {folder}/DUPLICADOS_ORIGEN")
-
-    def store(name, df):
-        path = f"{folder}/tables/{name}"
-        write_table(df, path)
-        return read_table(spark, path)
-
-    run = RegistryRun(stage, attr, base, info, row_id, materialize=store)
-    sheets = run.sheets()
-    write_report(sheets, folder)
+    run = RegistryRun(stage, attr, base, info, row_id, materialize=lambda name, df: report.write(f"tables/{name}", df))
+    for name, sheet in run.sheets().items():
+        report.write(name, sheet)
+    report.commit()
     return run
-

@@ -7,6 +7,7 @@ from cotejo import RegistryError
 from cotejo.operators import reconcile as R
 from cotejo.plans.registry_etl import RegistryRun, RunInfo, run_registry_etl
 from cotejo.plans.sheet_audit import audit_sheet
+from cotejo.sources.publish import published
 from cotejo.sources.reports import read_table, run_folder
 from tests.conftest import rows
 
@@ -108,6 +109,18 @@ def test_sheets_agree_with_summary(spark, tmp_path):
         run_registry_etl(*tables(spark), info, str(tmp_path))
 
 
+def test_a_run_that_died_can_be_run_again(spark, tmp_path):
+    stage, attr, base = tables(spark)
+    broken = stage.withColumn("ESTADO", F.when(F.col("row_seq") >= 0, F.raise_error(F.lit("boom"))).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        run_registry_etl(broken, attr, base, RunInfo(NOW), str(tmp_path))
+    folder = run_folder(str(tmp_path), NOW)
+    assert published(spark, folder) is None
+    run_registry_etl(stage, attr, base, RunInfo(NOW), str(tmp_path))
+    assert len(published(spark, folder)) == 9 + 4
+    assert read_table(spark, f"{folder}/tables/CM_ATRIBUTOS").count() == 8
+
+
 def test_strict_mode_stops_on_duplicates(spark, tmp_path):
     with pytest.raises(RegistryError, match="duplicate keys"):
         run_registry_etl(*tables(spark), RunInfo(NOW), str(tmp_path), on_duplicates="fail")

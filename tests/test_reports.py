@@ -15,7 +15,7 @@ from cotejo.operators import merge as G
 from cotejo.plans import monthly_reports as MR
 from cotejo.plans.classification import classify_sheet
 from cotejo.plans.sheet_merge import merge_sheets
-from cotejo.sources import files, inventory, reports, sheets
+from cotejo.sources import files, inventory, publish, reports, sheets
 from tests.conftest import rows
 
 NOW = datetime(2026, 3, 1, 12)
@@ -257,6 +257,47 @@ def test_folder_is_read_without_a_job_per_file(spark, tmp_path):
     assert jobs(60) <= jobs(6) + 2
 
 
+def test_publication_survives_a_failed_write(spark, tmp_path):
+    """Readers keep the old report while a new one is written and when it fails; then the new one shows as a whole."""
+    folder = str(tmp_path / "rep")
+    frame = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    reports.write_report({"A": frame(1, 2), "B": frame(3)}, folder, overwrite=True)
+    broken = frame(7).select(F.when(F.col("v") == 7, F.raise_error(F.lit("boom"))).cast("int").alias("v"))
+    with pytest.raises(Exception, match="boom"):
+        reports.write_report({"A": frame(9), "B": broken}, folder, overwrite=True)
+    assert rows(reports.read_table(spark, f"{folder}/A")) == [(1,), (2,)] and rows(reports.read_table(spark, f"{folder}/B")) == [(3,)]
+    half = publish.Publication(spark, folder, replace=True)  # dies before its commit
+    half.write("A", frame(8))
+    assert rows(reports.read_table(spark, f"{folder}/A")) == [(1,), (2,)]
+    out = reports.write_report({"A": frame(5), "B": frame()}, folder, overwrite=True, skip_empty=("B",))
+    assert list(out) == ["A"] and set(publish.published(spark, folder)) == {"A"}
+    assert rows(reports.read_table(spark, f"{folder}/A")) == [(5,)]
+    with pytest.raises(RegistryError, match="already exists"):
+        publish.Publication(spark, folder)
+    reports.write_table(frame(1), str(tmp_path / "one"), overwrite=True)
+    reports.write_table(frame(2), str(tmp_path / "one"), overwrite=True)
+    assert rows(reports.read_table(spark, str(tmp_path / "one"))) == [(2,)]
+
+
+def test_frames_are_evaluated_once(spark, tmp_path):
+    """Rows that pass a frame are counted by an accumulator: one pass each, whether sheets may be left out or not."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(10).mapInArrow(passed, "id long")
+    reports.write_report({"A": df}, str(tmp_path / "a"), overwrite=True, skip_empty=("A",))
+    reports.write_report({"A": df}, str(tmp_path / "b"), skip_empty=("A",))
+    export = df.selectExpr("CAST(id AS STRING) EXPEDIENTE", "'Vigente' ESTADO")
+    plan, _ = E.write_single_export(export, str(tmp_path / "c"), run_ts=NOW)
+    assert seen.value == 30
+    names = spark.read.option("header", True).csv(str(tmp_path / "c_CAMPOS_20260301_120000"))
+    assert [tuple(r) for r in names.where("NOMBRE_CORTO IS NOT NULL").select("CAMPO", "NOMBRE_CORTO").collect()] == plan
+
+
 def test_files_and_inventory(spark, tmp_path):
     base = tmp_path / "docs"
     put(base / "x" / "N-1_tema_2026-CAN-PRI-1.pdf", "a")
