@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cotejo.functions.text import _col
 
-_CHUNK = 200_000  # triangle or segment pairs held in memory at a time
+_CHUNK = 200_000  # pairs of edges held in memory at a time
+_POINTS = 1_000_000  # points of the polygons worked on together
 
 
 def boxes_meet(a: str, b: str) -> Column:
@@ -103,110 +104,158 @@ class _Batch:
         e = self.edges
         return np.abs(np.bincount(self.owner, e[:, 0] * e[:, 3] - e[:, 2] * e[:, 1], self.n)) / 2
 
-    def fans(self):
-        """Counter-clockwise triangles from each polygon's first point over its edges, their signs and counts."""
-        tri = np.stack([self.starts()[self.owner], self.edges[:, :2], self.edges[:, 2:]], axis=1)
-        u, v = tri[:, 1] - tri[:, 0], tri[:, 2] - tri[:, 0]
-        twice = u[:, 0] * v[:, 1] - u[:, 1] * v[:, 0]
-        tri[twice < 0] = tri[twice < 0][:, [0, 2, 1]]
-        solid = twice != 0
-        return tri[solid], np.sign(twice[solid]), np.bincount(self.owner[solid], minlength=self.n)
-
-
-def _pairings(n, m, wanted=None):
-    """Chunks of (pair, row of left, row of right) covering every combination inside each (wanted) pair."""
-    per_pair = n * m if wanted is None else n * m * wanted
-    ends = np.cumsum(per_pair)
-    l0, r0 = np.cumsum(n) - n, np.cumsum(m) - m
-    total = int(ends[-1]) if len(ends) else 0
-    for lo in range(0, total, _CHUNK):
-        k = np.arange(lo, min(lo + _CHUNK, total))
-        pair = np.searchsorted(ends, k, side="right")
-        local = k - (ends[pair] - per_pair[pair])
-        yield pair, l0[pair] + local // m[pair], r0[pair] + local % m[pair]
-
-
-def _clip(poly, count, a, b):
-    """Cut convex polygons (rows of ``poly``) to the left side of the directed lines a-b."""
-    rows, width, _ = poly.shape
-    slot = np.arange(width)
-    live = slot < count[:, None]
-    nxt = np.where(slot + 1 < count[:, None], slot + 1, 0)
-    following = np.take_along_axis(poly, nxt[:, :, None], axis=1)
-    d = b - a
-
-    def side(p):
-        return d[:, None, 0] * (p[:, :, 1] - a[:, None, 1]) - d[:, None, 1] * (p[:, :, 0] - a[:, None, 0])
-
-    here, there = side(poly), side(following)
-    keep = live & (here >= 0)
-    crosses = live & ((here >= 0) != (there >= 0))
-    t = np.divide(here, here - there, out=np.zeros_like(here), where=crosses)
-    cut = poly + t[:, :, None] * (following - poly)
-    both = np.stack([poly, cut], axis=2).reshape(rows, 2 * width, 2)
-    used = np.stack([keep, crosses], axis=2).reshape(rows, 2 * width)
-    order = np.argsort(~used, axis=1, kind="stable")[:, : width + 1]
-    return np.take_along_axis(both, order[:, :, None], axis=1), np.minimum(used.sum(axis=1), width + 1)
+    def part(self, pairs):
+        """The polygons of some pairs, by mask; the others are left without edges."""
+        out = object.__new__(_Batch)
+        keep = pairs[self.owner]
+        out.n, out.owner, out.edges = self.n, self.owner[keep], self.edges[keep]
+        return out
+
+    def turned(self):
+        """The same polygons with the axes exchanged."""
+        out = object.__new__(_Batch)
+        out.n, out.owner, out.edges = self.n, self.owner, self.edges[:, [1, 0, 3, 2]]
+        return out
+
+
+class _Sweep:
+    """Edges of the left and right polygons of each pair whose x-intervals meet, found by sorted ends.
+
+    Of two intervals that meet, one begins inside the other. So the edges that meet an interval are those that begin in it,
+    a run of the list sorted by beginnings, and those in which it begins, which the other direction finds. All pairs are
+    swept at once: an end's rank in the order by (pair, x) stands for its x. ``wide`` widens the left intervals.
+    """
+
+    def __init__(self, left, right, wide=0.0):
+        l, r = left.edges[:, ::2], right.edges[:, ::2]
+        ends = [l.min(axis=1) - wide, l.max(axis=1) + wide, r.min(axis=1), r.max(axis=1)]
+        n, m = len(l), len(r)
+        value = np.concatenate(ends)
+        pair = np.concatenate([left.owner, left.owner, right.owner, right.owner])
+        order = np.lexsort((value, pair))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(value[order]) != 0) | (np.diff(pair[order]) != 0)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.cumsum(new)
+        a, b, c, d = np.split(rank, [n, 2 * n, 2 * n + m])
+        self.by_c, self.by_a = np.argsort(c, kind="stable"), np.argsort(a, kind="stable")
+        c_sorted, a_sorted = c[self.by_c], a[self.by_a]
+        # right edges that begin in the left one, ends included; left edges that begin in the right one, after its start
+        self.low_c, self.high_c = np.searchsorted(c_sorted, a, "left"), np.searchsorted(c_sorted, b, "right")
+        self.low_a, self.high_a = np.searchsorted(a_sorted, c, "right"), np.searchsorted(a_sorted, d, "right")
+        self.left, self.right = left, right
+
+    def cost(self):
+        """Meeting edges per pair."""
+        n = self.left.n
+        return np.bincount(self.left.owner, self.high_c - self.low_c, n) + np.bincount(self.right.owner, np.maximum(self.high_a - self.low_a, 0), n)
+
+    def chunks(self):
+        """(pair, left edge, right edge) arrays of at most about _CHUNK rows."""
+        for low, high, other, mine_left in ((self.low_c, self.high_c, self.by_c, True), (self.low_a, self.high_a, self.by_a, False)):
+            owner = (self.left if mine_left else self.right).owner
+            counts = np.maximum(high - low, 0)
+            ends = np.cumsum(counts)
+            total = int(ends[-1]) if len(ends) else 0
+            for first in range(0, total, _CHUNK):
+                k = np.arange(first, min(first + _CHUNK, total))
+                mine = np.searchsorted(ends, k, side="right")
+                theirs = other[low[mine] + k - (ends[mine] - counts[mine])]
+                yield (owner[mine], mine, theirs) if mine_left else (owner[mine], theirs, mine)
+
+
+def _by_axis(left, right, wide=0.0, wanted=None):
+    """Sweeps over the wanted pairs, each along the axis that has fewer meeting edges for it."""
+    wanted = np.ones(left.n, bool) if wanted is None else wanted
+    if not wanted.any():
+        return
+    along_x = _Sweep(left, right, wide).cost() <= _Sweep(left.turned(), right.turned(), wide).cost()
+    for pairs, turn in ((wanted & along_x, False), (wanted & ~along_x, True)):
+        if pairs.any():
+            l, r = left.part(pairs), right.part(pairs)
+            yield (l.turned(), r.turned(), True) if turn else (l, r, False)
 
 
 def _shared_area(left, right):
-    tri_l, sign_l, n = left.fans()
-    tri_r, sign_r, m = right.fans()
-    box_l, box_r = ((t.min(axis=1), t.max(axis=1)) for t in (tri_l, tri_r))
+    """Area of the intersection of each pair.
+
+    A polygon is the signed sum of the trapezoids between its edges and a line below both polygons; the common area of
+    two such trapezoids is the integral of the lower edge over their common x-interval.
+    """
     total = np.zeros(left.n)
-    for pair, i, j in _pairings(n, m):
-        near = ((box_l[0][i] < box_r[1][j]) & (box_r[0][j] < box_l[1][i])).all(axis=1)
-        pair, i, j = pair[near], i[near], j[near]
-        poly, cutter = tri_l[i], tri_r[j]
-        count = np.full(len(i), 3)
-        for k in range(3):
-            poly, count = _clip(poly, count, cutter[:, k], cutter[:, (k + 1) % 3])
-        slot = np.arange(poly.shape[1])
-        nxt = np.where(slot + 1 < count[:, None], slot + 1, 0)
-        q = np.take_along_axis(poly, nxt[:, :, None], axis=1)
-        cross = np.where(slot < count[:, None], poly[:, :, 0] * q[:, :, 1] - q[:, :, 0] * poly[:, :, 1], 0)
-        area = np.abs(cross.sum(axis=1)) / 2 * sign_l[i] * sign_r[j]
-        total += np.bincount(pair, weights=area, minlength=left.n)
+    for l, r, _ in _by_axis(left, right):
+        base = np.full(l.n, np.inf)
+        for side in (l, r):
+            np.minimum.at(base, side.owner, side.edges[:, [1, 3]].min(axis=1))
+        sweep = _Sweep(l, r)
+        for pair, i, j in sweep.chunks():
+            e, f = l.edges[i], r.edges[j]
+            low = np.maximum(e[:, ::2].min(axis=1), f[:, ::2].min(axis=1))
+            high = np.minimum(e[:, ::2].max(axis=1), f[:, ::2].max(axis=1))
+            some = high > low
+            pair, e, f, low, high = pair[some], e[some], f[some], low[some], high[some]
+
+            def heights(edge, x):
+                run = edge[:, 2] - edge[:, 0]
+                return edge[:, 1] + (x - edge[:, 0]) / run * (edge[:, 3] - edge[:, 1]) - base[pair]
+
+            e0, e1, f0, f1 = heights(e, low), heights(e, high), heights(f, low), heights(f, high)
+            d0, d1 = e0 - f0, e1 - f1
+            # Where the edges cross, the lower one changes; the lost triangles lie between the crossing and either end.
+            crosses = (d0 < 0) != (d1 < 0)
+            at = np.divide(d0, d0 - d1, out=np.zeros(len(d0)), where=crosses)
+            flat = (np.minimum(e0, f0) + np.minimum(e1, f1)) / 2
+            with_cross = (np.minimum(e0, f0) * at + np.minimum(e1, f1) * (1 - at) + (e0 + at * (e1 - e0))) / 2
+            sign = np.sign(e[:, 2] - e[:, 0]) * np.sign(f[:, 2] - f[:, 0])
+            total += np.bincount(pair, (high - low) * np.where(crosses, with_cross, flat) * sign, left.n)
     return np.abs(total)
 
 
 def _boundaries_meet(left, right, wanted, tol):
     """For the wanted pairs: some edge of one comes within ``tol`` of an edge of the other."""
     meets = np.zeros(left.n, bool)
-    for pair, i, j in _pairings(left.counts, right.counts, wanted.astype(int)):
-        s, t = left.edges[i], right.edges[j]
-        near = np.full(len(i), np.inf)
-        for p, seg in ((s[:, :2], t), (s[:, 2:], t), (t[:, :2], s), (t[:, 2:], s)):
-            d = seg[:, 2:] - seg[:, :2]
-            length = (d * d).sum(axis=1)
-            at = np.divide(((p - seg[:, :2]) * d).sum(axis=1), length, out=np.zeros(len(i)), where=length > 0)
-            foot = seg[:, :2] + np.clip(at, 0, 1)[:, None] * d
-            near = np.minimum(near, np.hypot(*(p - foot).T))
-
-        def turn(a, b, c):
-            return (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])
-
-        cross = (turn(s[:, :2], s[:, 2:], t[:, :2]) * turn(s[:, :2], s[:, 2:], t[:, 2:]) < 0) & (
-            turn(t[:, :2], t[:, 2:], s[:, :2]) * turn(t[:, :2], t[:, 2:], s[:, 2:]) < 0
-        )
-        np.logical_or.at(meets, pair, (near <= tol) | cross)
+    for l, r, _ in _by_axis(left, right, tol, wanted):
+        for pair, i, j in _Sweep(l, r, tol).chunks():
+            s, t = l.edges[i], r.edges[j]
+            close = (s[:, 1::2].min(axis=1) - tol <= t[:, 1::2].max(axis=1)) & (t[:, 1::2].min(axis=1) - tol <= s[:, 1::2].max(axis=1))
+            close &= ~meets[pair]
+            pair, s, t = pair[close], s[close], t[close]
+            near = np.full(len(s), np.inf)
+            for p, seg in ((s[:, :2], t), (s[:, 2:], t), (t[:, :2], s), (t[:, 2:], s)):
+                d = seg[:, 2:] - seg[:, :2]
+                length = (d * d).sum(axis=1)
+                at = np.divide(((p - seg[:, :2]) * d).sum(axis=1), length, out=np.zeros(len(s)), where=length > 0)
+                foot = seg[:, :2] + np.clip(at, 0, 1)[:, None] * d
+                near = np.minimum(near, np.hypot(*(p - foot).T))
+
+            def turn(a, b, c):
+                return (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])
+
+            cross = (turn(s[:, :2], s[:, 2:], t[:, :2]) * turn(s[:, :2], s[:, 2:], t[:, 2:]) < 0) & (
+                turn(t[:, :2], t[:, 2:], s[:, :2]) * turn(t[:, :2], t[:, 2:], s[:, 2:]) < 0
+            )
+            np.logical_or.at(meets, pair, (near <= tol) | cross)
     return meets
 
 
+def _cuts(points):
+    """Row ranges of at most _POINTS points, or of one row."""
+    ends, low = np.concatenate([[0], np.cumsum(points)]), 0
+    while low < len(points):
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + _POINTS, side="right")) - 1)
+        yield low, high
+        low = high
+
+
 def polygon_overlap(xy_tol=1e-9, area_tol=1e-9):
     """Pandas UDF (xs, ys, sizes of both polygons) -> struct(area, touches).
 
-    The area is the signed sum of triangle intersections over both fans, exact for non-convex rings and holes. A
-    share of at most ``area_tol`` of the smaller polygon counts as none; then ``touches`` says whether the
-    boundaries come within ``xy_tol`` of each other.
+    The area is exact for non-convex rings and holes. A share of at most ``area_tol`` of the smaller polygon counts as
+    none; then ``touches`` says whether the boundaries come within ``xy_tol`` of each other. Edges meet edges through sorted
+    intervals, so the work follows those that meet and not all combinations, and a batch is worked off by points.
     """
 
-    @F.pandas_udf("area double, touches boolean")
-    def measure(
-        lx: pd.Series, ly: pd.Series, ls: pd.Series, rx: pd.Series, ry: pd.Series, rs: pd.Series
-    ) -> pd.DataFrame:
-        if len(lx) == 0:
-            return pd.DataFrame({"area": np.zeros(0), "touches": np.zeros(0, bool)})
+    def part(lx, ly, ls, rx, ry, rs):
         left, right = _Batch(lx, ly, ls), _Batch(rx, ry, rs)
         origin = left.starts().copy()
         left.shift(origin)
@@ -214,7 +263,15 @@ def polygon_overlap(xy_tol=1e-9, area_tol=1e-9):
         area = _shared_area(left, right)
         smaller = np.minimum(left.sizes(), right.sizes())
         area[area <= area_tol * np.maximum(smaller, area_tol)] = 0.0
-        touches = _boundaries_meet(left, right, area == 0, xy_tol)
-        return pd.DataFrame({"area": area, "touches": touches})
+        return area, _boundaries_meet(left, right, area == 0, xy_tol)
+
+    @F.pandas_udf("area double, touches boolean")
+    def measure(
+        lx: pd.Series, ly: pd.Series, ls: pd.Series, rx: pd.Series, ry: pd.Series, rs: pd.Series
+    ) -> pd.DataFrame:
+        points = np.fromiter((len(a) + len(b) for a, b in zip(lx, rx)), int, len(lx))
+        found = [part(*[c.iloc[low:high] for c in (lx, ly, ls, rx, ry, rs)]) for low, high in _cuts(points)]
+        area, touches = zip(*found) if found else ([np.zeros(0)], [np.zeros(0, bool)])
+        return pd.DataFrame({"area": np.concatenate(area), "touches": np.concatenate(touches)})
 
     return measure.asNondeterministic()  # else a filter on the result is pushed below the spread and runs it twice

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from datetime import datetime
 
 import pandas as pd
@@ -193,3 +194,57 @@ def test_ring_parcels(spark):
         ("I", "S", "SIN_ESTADO", "TRASLAPA", 1.0, 100.0), ("S", "I", "x", "TRASLAPA", 1.0, 12.5), ("S", "U", "x", "TOCA", 0.0, 0.0),
         ("U", "S", "SIN_ESTADO", "TOCA", 0.0, 0.0),
     ]
+
+
+def star(rnd, n, x, y, size):
+    """A non-convex ring around (x, y), counter-clockwise."""
+    angles = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(n))
+    radius = [size * rnd.uniform(0.2, 1) for _ in range(n)]
+    return [x + r * math.cos(a) for a, r in zip(angles, radius)], [y + r * math.sin(a) for a, r in zip(angles, radius)], [n]
+
+
+def clipped_area(ring, convex):
+    """Shoelace area of a ring cut to the left of every edge of a convex counter-clockwise ring."""
+    points, cut = list(zip(*ring[:2])), list(zip(*convex[:2]))
+    for a, b in zip(cut, cut[1:] + cut[:1]):
+        side = lambda p: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])  # noqa: B023, E731
+        out = []
+        for p, q in zip(points, points[1:] + points[:1]):
+            if side(p) >= 0:
+                out.append(p)
+            if (side(p) >= 0) != (side(q) >= 0):
+                t = side(p) / (side(p) - side(q))
+                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
+        points = out
+    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(points, points[1:] + points[:1]))) / 2
+
+
+def circle(n, x, r=1.0):
+    return [x + r * math.cos(2 * math.pi * i / n) for i in range(n)], [r * math.sin(2 * math.pi * i / n) for i in range(n)], [n]
+
+
+def test_stars_against_clipping(spark, monkeypatch):
+    """Whatever the cuts of a batch and of the meeting edges: areas equal those of plain clipping, either way round."""
+    rnd = random.Random(11)
+    pairs = [(star(rnd, rnd.randint(5, 40), 0, 0, 3), circle(rnd.randint(3, 12), rnd.uniform(-3, 3), 2)) for _ in range(60)]
+    want = [clipped_area(a, b) for a, b in pairs]
+    assert [a for a, _ in measure(spark, pairs)] == pytest.approx(want, abs=1e-9)
+    assert [a for a, _ in measure(spark, [(b, a) for a, b in pairs])] == pytest.approx(want, abs=1e-9)
+    monkeypatch.setattr(G, "_CHUNK", 7)
+    monkeypatch.setattr(G, "_POINTS", 50)
+    batches = [G._Batch(*[pd.Series([p[k][c] for p in pairs]) for c in range(3)]) for k in (0, 1)]
+    assert G._shared_area(*batches).tolist() == pytest.approx(want, abs=1e-9)
+    cuts = list(G._cuts([40, 20, 70, 10]))
+    assert cuts == [(0, 1), (1, 2), (2, 3), (3, 4)] and list(G._cuts([10, 20, 30])) == [(0, 2), (2, 3)]
+
+
+def test_large_rings_in_seconds(spark):
+    """Two rings of 20,000 points that overlap, and two that only touch: no work for edges that do not meet."""
+    n = 20_000
+    start = time.perf_counter()
+    (area, _), (nothing, touches), (none, apart) = measure(spark, [(circle(n, 0), circle(n, 1)), (circle(n, 0), circle(n, 2)), (circle(n, 0), circle(n, 2.001))])
+    assert area == pytest.approx(2 * math.pi / 3 - math.sqrt(3) / 2, abs=1e-6)
+    assert (nothing, touches, none, apart) == (0, True, 0, False)
+    assert time.perf_counter() - start < 60  # most of it is building the frame; all combinations would be 1.2e9 edges
+    left, right = (G._Batch(*[pd.Series([c]) for c in circle(n, x)]) for x in (0, 1))
+    assert G._Sweep(left, right).cost()[0] < 20 * n
