@@ -1,5 +1,7 @@
 """Monthly activity: tasks and mail, documents, consolidated sheets."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from cotejo.functions import text as X
 from cotejo.functions.dates import as_timestamp, english_month, in_month
 from cotejo.functions.predicates import is_document, lacks_name_part, same_user
 from cotejo.operators import schema as S
+from cotejo.sources.durable import stored
 
 TASK_COLUMNS = ("FECHA", "ASUNTO", "EXPEDIENTE", "CONSECUTIVO")
 DOCUMENT_COLUMNS = (
@@ -15,6 +18,7 @@ DOCUMENT_COLUMNS = (
     "RUTA_COMPLETA",
 )
 UNKNOWN_MONTH = "Sin datos"
+PIECE = 1_000  # rows of either side of a busy (time, subject) pair that one task takes at a time
 
 
 # Tasks and mail
@@ -62,18 +66,59 @@ def _same_pair(null_subjects_match):
     return (F.col("FECHA") == F.col("_f")) & subject
 
 
-def tasks_with_mail(tasks: DataFrame, mail: DataFrame, null_subjects_match=False) -> DataFrame:
+def _heavy_pairs(tasks, mail, null_subjects_match, piece) -> DataFrame:
+    """_hf, _ha (time, subject), _parts_t, _parts_m of the pairs that would give more than ``piece`` squared rows."""
+    def counted(df, n):
+        known = F.col("FECHA").isNotNull() if null_subjects_match else F.col("FECHA").isNotNull() & F.col("ASUNTO").isNotNull()
+        return df.where(known).groupBy(F.col("FECHA").alias(f"_f{n}"), F.col("ASUNTO").alias(f"_a{n}")).agg(F.count("*").alias(f"_n{n}"))
+
+    both = counted(tasks, 1).join(counted(mail, 2), (F.col("_f1") == F.col("_f2")) & F.col("_a1").eqNullSafe(F.col("_a2")))
+    parts = [F.ceil(F.col(n) / piece).cast("int").alias(p) for n, p in (("_n1", "_parts_t"), ("_n2", "_parts_m"))]
+    return both.where(F.col("_n1") * F.col("_n2") > piece * piece).select(F.col("_f1").alias("_hf"), F.col("_a1").alias("_ha"), *parts)
+
+
+def _is_heavy():
+    """The hash keeps a busy pair splittable in joins to the heavy ones."""
+    same = (F.col("FECHA") == F.col("_hf")) & F.col("ASUNTO").eqNullSafe(F.col("_ha"))
+    return same & (F.xxhash64("FECHA", "ASUNTO") == F.xxhash64("_hf", "_ha"))
+
+
+def _heavy_matches(tasks, mail, heavy):
+    """Every task of a heavy pair with every mail of it, dealt to a grid: parts of the tasks by parts of the mails."""
+    def part(df, columns, own, other):
+        rows = df.join(heavy, _is_heavy()).select(*columns, "_hf", "_ha", "_parts_t", "_parts_m", F.monotonically_increasing_id().alias("_n"))
+        rows = stored(rows)  # a row keeps its number, and so its part, whatever is computed again
+        across = F.explode(F.sequence(F.lit(0), F.col(other[0]) - 1))
+        return rows.select(*columns, "_hf", "_ha", (F.col("_n") % F.col(own[0])).cast("int").alias(own[1]), across.alias(other[1]))
+
+    t, m = ("_parts_t", "_i"), ("_parts_m", "_j")
+    left = part(tasks, TASK_COLUMNS, t, m)
+    right = part(mail, ("DESTINATARIOS",), m, t).withColumnsRenamed({c: f"{c}2" for c in ("_hf", "_ha", "_i", "_j")})
+    same = F.col("_ha").eqNullSafe(F.col("_ha2"))
+    for c in ("_hf", "_i", "_j"):
+        same = same & (F.col(c) == F.col(f"{c}2"))
+    return left.join(right, same).select(*TASK_COLUMNS, "DESTINATARIOS")
+
+
+def tasks_with_mail(tasks: DataFrame, mail: DataFrame, null_subjects_match=False, piece=PIECE) -> DataFrame:
     """Tasks next to the mail of the same time and subject, then the mail that belongs to no task.
 
     A task with several mails appears once per mail. Null subjects are no match, as they would pair every task of a
-    time with every mail of it; ``null_subjects_match`` asks for just that. Null times never match.
+    time with every mail of it; ``null_subjects_match`` asks for just that. Null times never match. Pairs are counted first;
+    one that gives more than ``piece`` squared rows is dealt to many tasks.
     """
-    m = mail.select(F.col("FECHA").alias("_f"), F.col("ASUNTO").alias("_a"), "DESTINATARIOS")
-    related = tasks.select(*TASK_COLUMNS).join(m, _same_pair(null_subjects_match), "left").drop("_f", "_a")
+    tasks = tasks.select(*TASK_COLUMNS)
+    heavy = stored(_heavy_pairs(tasks, mail, null_subjects_match, piece))
+    few_tasks, few_mail, matches = tasks, mail, []
+    if not heavy.isEmpty():
+        few_tasks, few_mail = (df.join(heavy, _is_heavy(), "left_anti") for df in (tasks, mail))
+        matches = [_heavy_matches(tasks, mail, heavy)]
+    m = few_mail.select(F.col("FECHA").alias("_f"), F.col("ASUNTO").alias("_a"), "DESTINATARIOS")
+    related = few_tasks.join(m, _same_pair(null_subjects_match), "left").drop("_f", "_a")
     alone = mail_without_task(tasks, mail, null_subjects_match).select(
         "FECHA", "ASUNTO", F.lit("").alias("EXPEDIENTE"), F.lit("").alias("CONSECUTIVO"), "DESTINATARIOS"
     )
-    return related.unionByName(alone)
+    return reduce(DataFrame.unionByName, [related, *matches, alone])
 
 
 def mail_without_task(tasks: DataFrame, mail: DataFrame, null_subjects_match=False) -> DataFrame:

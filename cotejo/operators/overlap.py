@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cotejo.functions import predicates as P
 from cotejo.functions.geometry import box_area, box_overlap_area, boxes_meet, polygon_area, polygon_overlap
-from cotejo.functions.text import status_label, strip
+from cotejo.functions.text import is_blank, status_label, strip
 from cotejo.operators.keyed import lookup_join, one_per_key
 
 OVERLAPS, TOUCHES = "TRASLAPA", "TOCA"
@@ -88,16 +88,19 @@ def first_polygons(parcels: DataFrame, ids: DataFrame, id_col="EXPEDIENTE") -> D
 
 
 def subject_problems(parcels: DataFrame, ids: DataFrame, shape="box", id_col="EXPEDIENTE") -> DataFrame:
-    """Wanted ids that cannot be analysed: no parcel, or a first parcel without area."""
+    """Wanted ids that cannot be analysed: blank, no parcel, or a first parcel without area."""
     parcels, ids = (df.withColumn(id_col, strip(id_col)) for df in (parcels, ids))
-    wanted = ids.select(id_col).distinct()
+    blank = is_blank(id_col)
+    missing = ids.where(blank).select(F.lit("").alias(id_col), F.lit("EXPEDIENTE_VACIO").alias("PROBLEMA")).distinct()
+    wanted = ids.where(~blank).select(id_col).distinct()
     rows = lookup_join(_with_area(parcels, shape), wanted, id_col, "left_semi")
     area = F.when(_has_shape(shape), F.struct("oid", "area"))
     firsts = rows.groupBy(id_col).agg(F.min(area)["area"].alias("_area"), F.lit(True).alias("_found"))
     problem = F.when(F.col("_found").isNull(), "EXPEDIENTE_NO_ENCONTRADO").when(
         F.coalesce(F.col("_area"), F.lit(0.0)) == 0, "AREA_CERO"
     )
-    return wanted.join(firsts, id_col, "left").select(id_col, problem.alias("PROBLEMA")).where("PROBLEMA IS NOT NULL")
+    found = wanted.join(firsts, id_col, "left").select(id_col, problem.alias("PROBLEMA")).where("PROBLEMA IS NOT NULL")
+    return found.unionByName(missing)
 
 
 def _measured(pairs, subjects, parcels, shape, xy_tol, area_tol):
@@ -166,6 +169,11 @@ def _shape_columns(shape):
     return (*BOX, *RING) if shape == "ring" else BOX
 
 
+def _wanted(ids, id_col):
+    """The trimmed ids; a blank one names no parcel."""
+    return ids.where(~is_blank(id_col)).select(strip(id_col).alias("id"))
+
+
 def overlaps(parcels, ids, status="ESTADO", shape="box", cell=1.0, xy_tol=1e-9, area_tol=1e-9, id_col="EXPEDIENTE"):
     """Overlaps and contacts of the wanted ids. Ids and statuses are trimmed; closed and unlocated parcels skipped.
 
@@ -174,7 +182,7 @@ def overlaps(parcels, ids, status="ESTADO", shape="box", cell=1.0, xy_tol=1e-9,
     extents.
     """
     rows = _shaped(parcels, shape).withColumn("id", F.coalesce(strip(id_col), F.lit("")))
-    wanted = ids.select(F.coalesce(strip(id_col), F.lit("")).alias("id"))
+    wanted = _wanted(ids, id_col)
     kept = rows.where(P.status_overlap_trimmed(status)).withColumn("status", status_label(strip(status)))
     columns = ("oid", "id", *_shape_columns(shape))
     subjects = first_polygons(rows.select(*columns, "area"), wanted, "id")
@@ -244,7 +252,7 @@ def add_parcels(base, candidates, id_col="EXPEDIENTE"):
 def analysed_subjects(parcels, ids, shape="box", id_col="EXPEDIENTE"):
     """(id, area) of the wanted parcels that ``overlaps`` analyses."""
     rows = _shaped(parcels, shape).select("oid", F.coalesce(strip(id_col), F.lit("")).alias("id"), "area")
-    wanted = ids.select(F.coalesce(strip(id_col), F.lit("")).alias("id"))
+    wanted = _wanted(ids, id_col)
     return first_polygons(rows, wanted, "id").where(F.col("area") > 0).select("id", "area")
 
 

@@ -10,26 +10,43 @@ from cotejo.sources.reports import run_stamp, write_lines, write_report
 
 # The names the id column may have, best first.
 ID_NAMES = ("EXPEDIENTE", "EXPEDIEN_1", "ID")
+# Fixed value: the name of the status column.
+STATUS_NAMES = ("ESTADO",)
 # Fixed value: the report's title.
 TITLE = "REPORTE DE TRASLAPES - CM_BASE"
 
 
+def _named(parcels, given, names, what):
+    """(parcels, column); a qualified name loses its dots, which Spark would read as steps into a struct."""
+    column = given or find_qualified(parcels, names)
+    if column is None or column not in parcels.columns:
+        raise RegistryError(f"parcels: missing {what} column {given or ' or '.join(names)}; found {', '.join(parcels.columns)}")
+    plain = column.split(".")[-1]
+    if plain == column:
+        return parcels, column
+    if plain in parcels.columns:
+        parcels = parcels.drop(plain)
+    return parcels.withColumnRenamed(column, plain), plain
+
+
 def report_overlaps(parcels: DataFrame, ids: DataFrame, out_dir: str, run_ts, **options) -> DataFrame:
     """Write the text report of the wanted ids and the ids that could not be analysed; returns the overlaps.
 
-    ENCABEZADO names the columns used and the run time, LINEAS holds the report's lines.
+    Id and status column are found by plain or qualified name (``CM_BASE.ESTADO``) unless they are given; it is an error if
+    the table lacks one. ENCABEZADO names the columns used and the run time, LINEAS holds the report's lines.
     """
     shape = options.get("shape", "box")
-    id_col = options["id_col"] if "id_col" in options else find_qualified(parcels, ID_NAMES) or ID_NAMES[0]
+    parcels, id_col = _named(parcels, options.get("id_col"), ID_NAMES, "id")
+    parcels, status = _named(parcels, options.get("status"), STATUS_NAMES, "status")
     if id_col not in ids.columns:
-        own = find_qualified(ids, ID_NAMES)
+        own = find_qualified(ids, (id_col, *ID_NAMES))
         require_columns(ids.columns, [id_col] if own is None else [own], "wanted ids")
         ids = ids.withColumnRenamed(own, id_col)
-    options["id_col"] = id_col
+    options |= {"id_col": id_col, "status": status}
     found = stored(O.overlaps(parcels, ids, **options))
     folder = f"{out_dir.rstrip('/')}/Reporte_Traslapes_{run_stamp(run_ts)}"
     head = (
-        TITLE, f"Campo expediente usado: {id_col}", f"Campo estado usado: {options.get('status', 'ESTADO')}",
+        TITLE, f"Campo expediente usado: {id_col}", f"Campo estado usado: {status}",
         f"Fecha: {run_ts:%Y-%m-%d %H:%M:%S}",
     )
     lines = parcels.sparkSession.createDataFrame([(line,) for line in head], "line string").coalesce(1)

@@ -32,7 +32,7 @@ _TRIMMED = (
     f"SELECT oid, {strip_sql('coalesce(EXPEDIENTE, chr(32))')} AS id, {strip_sql('ESTADO')} AS st, {_AREA} AS area, "
     "xmin, ymin, xmax, ymax FROM target_base WHERE xmin IS NOT NULL",
 )
-_TRIMMED_SUBJECTS = ("subj", _first("rows_t"))
+_TRIMMED_SUBJECTS = ("subj", _first("(SELECT * FROM rows_t WHERE id <> '')"))
 _TRIMMED_FOUND = (
     "found",
     f"SELECT s.id AS EXPEDIENTE_BASE, p.id AS EXPEDIENTE, CASE WHEN coalesce(p.st, '') = '' THEN 'SIN_ESTADO' ELSE p.st END AS ESTADO, "
@@ -135,7 +135,7 @@ def overlap_report_lines(spark, sf_dir):
 
 @query(
     with_views(
-        "SELECT EXPEDIENTE, CASE WHEN n = 0 THEN 'EXPEDIENTE_NO_ENCONTRADO' ELSE 'AREA_CERO' END AS PROBLEMA FROM ("
+        "SELECT coalesce(EXPEDIENTE, '') AS EXPEDIENTE, CASE WHEN coalesce(EXPEDIENTE, '') = '' THEN 'EXPEDIENTE_VACIO' WHEN n = 0 THEN 'EXPEDIENTE_NO_ENCONTRADO' ELSE 'AREA_CERO' END AS PROBLEMA FROM ("
         f"SELECT w.EXPEDIENTE, count(p.oid) AS n, coalesce(arg_min({_AREA}, p.oid) FILTER (p.xmin IS NOT NULL), 0) AS a "
         f"FROM (SELECT {strip_sql('EXPEDIENTE')} AS EXPEDIENTE FROM target_attr UNION SELECT {strip_sql('EXPEDIENTE')} FROM target_base) w "
         f"LEFT JOIN (SELECT * REPLACE ({strip_sql('EXPEDIENTE')} AS EXPEDIENTE) FROM target_base) p ON p.EXPEDIENTE = w.EXPEDIENTE GROUP BY 1) WHERE n = 0 OR a = 0",

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cotejo import RegistryError
 from cotejo.functions import geometry as G
 from cotejo.operators import overlap as O
 from cotejo.plans.overlap_report import add_and_report, report_overlaps
@@ -196,6 +197,22 @@ def test_ring_parcels(spark):
     ]
 
 
+def test_blank_ids_and_qualified_columns(spark, tmp_path):
+    """A blank wanted id is a problem and no subject; qualified names are found, a missing status column is an error."""
+    ids = spark.createDataFrame([("A",), (" ",), (None,), ("",)], "EXPEDIENTE string")
+    blanks = parcels(spark).withColumn("EXPEDIENTE", F.when(F.col("EXPEDIENTE") == "E", F.lit(None)).otherwise(F.col("EXPEDIENTE")))
+    assert {r[0] for r in rows(O.overlaps(blanks, ids), "EXPEDIENTE_BASE")} == {"A"}
+    assert rows(O.analysed_subjects(blanks, ids), "id") == [("A",)]
+    assert rows(O.subject_problems(blanks, ids)) == [("", "EXPEDIENTE_VACIO")]
+    named = parcels(spark).withColumnRenamed("EXPEDIENTE", "CM_BASE.Expediente").withColumnRenamed("ESTADO", "CM_BASE.Estado")
+    plain = report_overlaps(parcels(spark), ids, str(tmp_path / "a"), NOW)
+    assert rows(report_overlaps(named, ids.withColumnRenamed("EXPEDIENTE", "expediente"), str(tmp_path / "b"), NOW)) == rows(plain)
+    head = spark.read.text(str(tmp_path / "b" / "Reporte_Traslapes_20260301_120000" / "ENCABEZADO"))
+    assert [r[0] for r in head.collect()][1:3] == ["Campo expediente usado: Expediente", "Campo estado usado: Estado"]
+    with pytest.raises(RegistryError, match="status"):
+        report_overlaps(parcels(spark).drop("ESTADO"), ids, str(tmp_path / "c"), NOW)
+
+
 def star(rnd, n, x, y, size):
     """A non-convex ring around (x, y), counter-clockwise."""
     angles = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(n))

@@ -169,6 +169,31 @@ def test_null_subjects_and_times(spark):
     assert pairs(A.tasks_with_mail(tasks, mail, null_subjects_match=True)) == [("", "q"), ("e", "-"), ("e", "p"), ("e", "r")]
 
 
+def test_busy_pair_is_dealt_to_many_tasks(spark):
+    """One (time, subject) pair with 600 tasks and 500 mails, equal rows among them, and a light one: same rows, even work."""
+    tasks = [(NOW, "hot", f"e{i % 40}", "c") for i in range(600)] + [(NOW, f"s{i}", "e", "c") for i in range(50)] + [(NOW, None, "n", "c"), (None, "hot", "n", "c")]
+    mail = [(NOW, "hot", f"p{i % 30}") for i in range(500)] + [(NOW, f"s{i}", "q") for i in range(0, 80, 2)] + [(NOW, None, "r")]
+    t = spark.createDataFrame(tasks, "FECHA timestamp_ntz, ASUNTO string, EXPEDIENTE string, CONSECUTIVO string").repartition(3)
+    m = spark.createDataFrame(mail, "FECHA timestamp_ntz, ASUNTO string, DESTINATARIOS string").repartition(3)
+    for nulls in (False, True):
+        plain, dealt = (A.tasks_with_mail(t, m, nulls, piece=p) for p in (10**6, 50))
+        count = lambda df: rows(df.groupBy(*df.columns).count())
+        assert count(plain) == count(dealt)
+    heavy = A._heavy_pairs(t, m, False, 50)
+    assert rows(heavy, "_ha", "_parts_t", "_parts_m") == [("hot", 12, 10)]
+    keys = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        made = A._heavy_matches(t, m, heavy).groupBy(F.spark_partition_id()).count().collect()
+        sizes = sorted(r["count"] for r in made)
+        assert sum(sizes) == 600 * 500 and sizes[-1] <= 5 * sizes[len(sizes) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_months(spark):
     df = spark.createDataFrame([(1, None), (2, "2026-02-01"), (3, "2026-02-02"), (4, "2026-01-01"), (5, "2026-01-02")], "row_seq int, t string")
     df = df.withColumn("FECHA", D.parse_lenient("t"))
