@@ -35,6 +35,7 @@ from cotejo.llm.common import SHARD_BYTES, _powers, cuts, mix, raw, stored
 
 LENGTH = 100
 GRAM = 40
+PIECE_BYTES = 128 << 10
 SAMPLE, HOT_DOCUMENTS = 20_000, 40
 BATCH = 16_384
 BUCKET_BYTES = 20 << 20
@@ -60,18 +61,32 @@ def rolled(data, size):
 
 
 def segments(data, ends, length=LENGTH, gram=GRAM):
-    """(anchor hash, document, first window, last window, anchor) of each segment; places count from the shard's start."""
+    """(anchor hash, document, first window, last window, anchor) of each segment; places count from the shard's start.
+
+    Documents are worked off some at a time, so that the arrays of a step stay in a core's cache.
+    """
+    parts, low = [], 0
+    while low < len(ends) - 1:
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] + PIECE_BYTES, side="right")) - 1)
+        base = ends[low]
+        hashes, doc, first, last, place = _segments(data[base:ends[high]], ends[low:high + 1] - base, length, gram)
+        parts.append((hashes, doc + low, first + base, last + base, place + base))
+        low = high
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else _segments(data, ends, length, gram)
+
+
+def _segments(data, ends, length, gram):
     hashes = rolled(data, gram)
     wide = length - gram + 1
     n = len(hashes) - wide + 1
     if n <= 0:
         return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4
     # smallest hash in each run of ``wide`` places: minima over powers of two, then two that overlap
-    low, reach = hashes, 1
+    minima, reach = [np.append(hashes, np.full(2 * wide, np.iinfo(np.uint64).max, np.uint64))], 1
     while reach * 2 <= wide:
-        low = np.minimum(low[:-reach], low[reach:])
+        minima.append(np.minimum(minima[-1][:-reach], minima[-1][reach:]))
         reach *= 2
-    low = np.minimum(low[:n], low[wide - reach:wide - reach + n])
+    low = np.minimum(minima[-1][:n], minima[-1][wide - reach:wide - reach + n])
     doc = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[:n]
     inside = np.arange(n) + length <= ends[1:][doc]
     # a run of windows with one minimum keeps its anchor until it leaves the window or a smaller one comes
@@ -79,7 +94,7 @@ def segments(data, ends, length=LENGTH, gram=GRAM):
     stops = np.flatnonzero(inside & np.append((low[1:] != low[:-1]) | (doc[1:] != doc[:-1]) | ~inside[1:], True))
     value = low[starts]
     found, first, last = [], [], []
-    value_at = _first_at(hashes, value, starts, wide)
+    value_at = _first_at(minima, value, starts)
     if not len(starts):
         return np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4
     while len(starts):  # equal grams close together: the run goes on with the next of them
@@ -89,19 +104,21 @@ def segments(data, ends, length=LENGTH, gram=GRAM):
         last.append(stay)
         more = stay < stops
         starts, stops, value = stay[more] + 1, stops[more], value[more]
-        value_at = _first_at(hashes, value, starts, wide)
+        value_at = _first_at(minima, value, starts)
     place, first, last = (np.concatenate(x) for x in (found, first, last))
     order = np.argsort(first, kind="stable")
     place, first, last = place[order], first[order], last[order]
     return hashes[place], doc[first], first, last, place
 
 
-def _first_at(hashes, value, starts, wide):
-    """First place from each start on that has the value (it has one within ``wide``)."""
-    at, open_ = starts.copy(), np.arange(len(starts))
-    while len(open_):
-        open_ = open_[hashes[at[open_]] != value[open_]]
-        at[open_] += 1
+def _first_at(minima, value, starts):
+    """First place from each start on that has the value, which is the smallest there and one of the next ``wide``.
+
+    ``minima[k]`` holds the smallest of 2^k hashes from each place on: a stretch of larger ones is passed at once.
+    """
+    at = starts.copy()
+    for k in range(len(minima) - 1, -1, -1):
+        at[minima[k][at] > value] += 1 << k
     return at
 
 
