@@ -16,7 +16,7 @@ NO_DATA = "SIN_DATOS"
 ARCHIVED = "ARCHIVADO"
 
 _STAGED = "_staged_"
-_ROW_KEY = "_row_key"
+ROW_KEY = "_row_key"
 
 
 def with_key(df: DataFrame, case=None) -> DataFrame:
@@ -33,10 +33,15 @@ def _has_key():
     return F.coalesce(F.col(S.KEY) != "", F.lit(False))
 
 
-def _with_row_key(target, row_id):
-    """The key to group and join by: rows without one get a value of their own instead of meeting in one group."""
+def with_row_key(target: DataFrame, row_id="oid") -> DataFrame:
+    """The key to group and join by: rows without one get a value of their own instead of meeting in one group.
+
+    A snapshot that holds the column keeps it, and with it the buckets it lies in.
+    """
+    if ROW_KEY in target.columns:
+        return target
     own = F.concat(F.lit("\x00"), F.col(row_id).cast("string"))
-    return target.withColumn(_ROW_KEY, F.when(_has_key(), F.col(S.KEY)).otherwise(own))
+    return target.withColumn(ROW_KEY, F.when(_has_key(), F.col(S.KEY)).otherwise(own))
 
 
 def _survivor_order(target, row_id):
@@ -46,12 +51,13 @@ def _survivor_order(target, row_id):
 
 
 def _unique_rows(target, row_id):
-    return one_per_key(_with_row_key(target, row_id), _ROW_KEY, *_survivor_order(target, row_id))
+    return one_per_key(with_row_key(target, row_id), ROW_KEY, *_survivor_order(target, row_id))
 
 
 def drop_duplicates(target: DataFrame, row_id="oid") -> DataFrame:
     """One row per key: latest preferred date, then lowest row id. Rows without a key all stay."""
-    return _unique_rows(target, row_id).drop(_ROW_KEY)
+    rows = _unique_rows(target, row_id)
+    return rows if ROW_KEY in target.columns else rows.drop(ROW_KEY)
 
 
 def duplicate_losers(target: DataFrame, row_id="oid") -> DataFrame:
@@ -66,7 +72,7 @@ def _staged(winners, pairs):
     """Winners under prefixed names: the key, the sheet order and the columns to transfer."""
     columns = dict.fromkeys(["row_seq", *[s for _, s in pairs]])
     return winners.select(
-        F.col(S.KEY).alias(_ROW_KEY), F.col(S.KEY).alias(_STAGED + S.KEY),
+        F.col(S.KEY).alias(ROW_KEY), F.col(S.KEY).alias(_STAGED + S.KEY),
         *[F.col(c).alias(_STAGED + c) for c in columns],
     )
 
@@ -158,8 +164,8 @@ def upsert(target: DataFrame, winners: DataFrame, run_ts, row_id="oid", after=No
     that shuffle. Inserted rows get ids above ``after`` (default: the target's highest).
     """
     pairs = S.transfer_pairs(target, winners, row_id)
-    rows = _unique_rows(target, row_id) if deduplicate else _with_row_key(target, row_id)
-    joined = rows.join(_staged(winners, pairs), _ROW_KEY, "full_outer")
+    rows = _unique_rows(target, row_id) if deduplicate else with_row_key(target, row_id)
+    joined = rows.join(_staged(winners, pairs), ROW_KEY, "full_outer")
     after = last_row_id(target, row_id) if after is None else after
     new_id = after + 1 + F.col(_STAGED + "row_seq")
     return _apply(joined, target, pairs, run_ts, lambda is_set: ~is_set, row_id, new_id)
@@ -174,9 +180,9 @@ def sync(target: DataFrame, winners: DataFrame, run_ts, row_id="oid", deduplicat
     pairs = S.transfer_pairs(target, winners, row_id)
     staged = _staged(winners, pairs)
     if deduplicate:
-        joined = _unique_rows(target, row_id).join(staged, _ROW_KEY, "left")
+        joined = _unique_rows(target, row_id).join(staged, ROW_KEY, "left")
     else:
-        joined = lookup_join(_with_row_key(target, row_id), staged, _ROW_KEY)
+        joined = lookup_join(with_row_key(target, row_id), staged, ROW_KEY)
     return _apply(joined, target, pairs, run_ts, lambda is_set: _has_key(), row_id)
 
 

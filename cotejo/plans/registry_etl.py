@@ -15,6 +15,7 @@ from cotejo.operators import reconcile as R
 from cotejo.operators import schema as S
 from cotejo.sources.publish import Publication
 from cotejo.sources.reports import run_folder
+from cotejo.sources.snapshots import keep_snapshot
 
 # Texts of log and problem rows (fixed values).
 MESSAGES = {
@@ -105,12 +106,12 @@ class RegistryRun:
     def attr_rows(self) -> DataFrame:
         after = R.last_row_id(self._attr, self.row_id)
         rows = R.upsert(self.attr_before, self.winners, self.info.run_ts, self.row_id, after, deduplicate=True)
-        return self._materialize(self.info.attr_table, rows)
+        return self._materialize(self.info.attr_table, rows.drop(R.ROW_KEY))
 
     @cached_property
     def base_rows(self) -> DataFrame:
         rows = R.sync(self.base_before, self.winners, self.info.run_ts, self.row_id, deduplicate=True)
-        return self._materialize(self.info.base_table, rows)
+        return self._materialize(self.info.base_table, rows.drop(R.ROW_KEY))
 
     # Detectors
 
@@ -281,13 +282,16 @@ def gate_summary(stage, attr, info: RunInfo) -> DataFrame:
     )
 
 
-def run_registry_etl(stage, attr, base, info: RunInfo, out_dir, row_id="oid", on_duplicates="last_wins"):
+def run_registry_etl(stage, attr, base, info: RunInfo, out_dir, row_id="oid", on_duplicates="last_wins", snapshots=None, buckets=200):
     """Run and write: new snapshots of both tables and the report, published together under one folder for the run.
 
     Winners and both classified snapshots are written first and every sheet is derived from the files, so that
     nothing is computed twice and the sheets agree. Readers see the run when all of it is there; one that died half-way may be
     run again with the same time. With ``on_duplicates="fail"`` duplicate keys stop the run: only the duplicates and the
     summary are written, and the tables stay as they are.
+
+    ``snapshots`` maps ``info.attr_table`` and ``info.base_table`` to names of catalog tables to save the new states under,
+    bucketed by key: the next run that takes them as its tables moves only the staged rows.
     """
     if on_duplicates not in ("last_wins", "fail"):
         raise RegistryError(f"on_duplicates must be last_wins or fail, got {on_duplicates}")
@@ -304,4 +308,6 @@ def run_registry_etl(stage, attr, base, info: RunInfo, out_dir, row_id="oid", on
     for name, sheet in run.sheets().items():
         report.write(name, sheet)
     report.commit()
+    for name, table in (snapshots or {}).items():
+        keep_snapshot({info.attr_table: run.attr_rows, info.base_table: run.base_rows}[name], table, buckets, row_id)
     return run

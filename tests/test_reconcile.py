@@ -9,10 +9,12 @@ from cotejo.plans.registry_etl import RegistryRun, RunInfo, run_registry_etl
 from cotejo.plans.sheet_audit import audit_sheet
 from cotejo.sources.publish import published
 from cotejo.sources.reports import read_table, run_folder
+from cotejo.sources.snapshots import keep_snapshot
 from tests.conftest import rows
 
 NOW = datetime(2026, 3, 1, 12)
 OLD = datetime(2020, 1, 1)
+LATER = datetime(2026, 4, 1, 12)
 STAGE = "row_seq long, Expediente string, ESTADO string, AREA double"
 ATTR = "oid long, EXPEDIENTE_KEY string, EXPEDIENTE string, ESTADO string, AREA string, Fecha_Actualizacion timestamp_ntz"
 BASE = "oid long, EXPEDIENTE string, ESTADO string, xmin double, ymin double, xmax double, ymax double"
@@ -121,6 +123,49 @@ def test_a_run_that_died_can_be_run_again(spark, tmp_path):
     assert read_table(spark, f"{folder}/tables/CM_ATRIBUTOS").count() == 8
 
 
+def test_second_run_leaves_the_snapshots_where_they_are(spark, tmp_path):
+    """From bucketed snapshots, neither table is shuffled for the upsert and the sync, and rows are those of a run without."""
+    stage, attr, base = tables(spark)
+    names = {"CM_ATRIBUTOS": "snap_attr", "CM_BASE": "snap_base"}
+    first = run_registry_etl(stage, attr, base, RunInfo(NOW), str(tmp_path), snapshots=names, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plain = RegistryRun(stage, first.attr_rows.drop("ACCION"), first.base_rows.drop("ACCION"), RunInfo(LATER))
+        second = RegistryRun(stage, spark.table("snap_attr"), spark.table("snap_base"), RunInfo(LATER))
+        for name in ("attr_rows", "base_rows"):
+            again, want = getattr(second, name), getattr(plain, name)
+            assert again.columns == want.columns and rows(again) == rows(want)
+            plan = again._jdf.queryExecution().executedPlan().toString()
+            moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert moved and all("EXPEDIENTE_KEY" in line or "_row_key" in line for line in moved)
+            assert plan.count("Bucketed: true") >= 1 and not _above_bucketed_scan(plan)
+            wide = want._jdf.queryExecution().executedPlan().toString()
+            assert wide.count("Exchange hashpartitioning") > plan.count("Exchange hashpartitioning")
+        with pytest.raises(Exception, match="already exists"):
+            keep_snapshot(first.attr_rows, "snap_attr", 8)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for table in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _above_bucketed_scan(plan):
+    """Hash exchanges on the way from a bucketed scan to the join: lines above it in the tree with less indent."""
+    lines, found = plan.splitlines(), []
+    for i, line in enumerate(lines):
+        if "Bucketed: true" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            for up in reversed(lines[:i]):
+                at = len(up) - len(up.lstrip(" :+-"))
+                if at < depth:
+                    depth = at
+                    if "Join" in up:
+                        break
+                    found += [up] if "Exchange hashpartitioning" in up else []
+    return found
+
+
 def test_strict_mode_stops_on_duplicates(spark, tmp_path):
     with pytest.raises(RegistryError, match="duplicate keys"):
         run_registry_etl(*tables(spark), RunInfo(NOW), str(tmp_path), on_duplicates="fail")
