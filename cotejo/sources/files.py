@@ -2,6 +2,7 @@
 
 import fnmatch
 import os
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -13,6 +14,7 @@ from cotejo.functions.text import file_suffix
 from cotejo.session import ship_package
 from cotejo.sources.durable import stored
 
+PAGE = 10_000  # rows of a listing that a task holds at a time
 _ENTRY = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64()), ("folder", pa.bool_())])
 
 
@@ -26,26 +28,41 @@ def _located(folder):
     return system, path, "" if local else folder.rstrip("/").removesuffix(path)
 
 
+def _local_entries(path):
+    """(path, time, size, is a folder) of what a local folder holds, one by one; links to folders are not followed."""
+    with os.scandir(path) as found:
+        for entry in found:
+            try:
+                stat = entry.stat()
+            except FileNotFoundError:  # gone meanwhile, or a link that leads nowhere
+                yield entry.path, None, None, False
+                continue
+            is_folder = entry.is_dir()
+            if not (is_folder and entry.is_symlink()):
+                yield entry.path, stat.st_mtime_ns // 1000, None if is_folder else stat.st_size, is_folder
+
+
+def _store_entries(system, path, before):
+    """The same for any other store, whose interface gives a folder's listing as one list."""
+    for i in system.get_file_info(fs.FileSelector(path)):
+        yield before + i.path, i.mtime_ns and i.mtime_ns // 1000, i.size, i.type == fs.FileType.Directory
+
+
 def _children(batches):
-    """Direct children of each folder; links to folders are not followed."""
+    """Direct children of each folder, ``PAGE`` rows at a time."""
     for batch in batches:
         for folder in batch.column(0).to_pylist():
             system, path, before = _located(folder)
-            found = system.get_file_info(fs.FileSelector(path))
-            if isinstance(system, fs.LocalFileSystem):
-                found = [i for i in found if i.type != fs.FileType.Directory or not os.path.islink(i.path)]
-            for low in range(0, len(found), 10_000):
-                rows = [
-                    (before + i.path, i.mtime_ns and i.mtime_ns // 1000, i.size, i.type == fs.FileType.Directory)
-                    for i in found[low:low + 10_000]
-                ]
+            entries = _local_entries(path) if isinstance(system, fs.LocalFileSystem) else _store_entries(system, path, before)
+            while rows := list(islice(entries, PAGE)):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ENTRY.types)], schema=_ENTRY)
 
 
 def list_files(spark: SparkSession, folder: str, pattern=None, recursive=True) -> DataFrame:
     """path, modificationTime, length of every file, hidden and empty ones too; local paths carry no scheme.
 
-    One round per level of folders, whose folders are listed side by side. ``pattern`` is a glob on the name.
+    One round per level of folders, whose folders are listed side by side; a local folder of any size is listed in
+    pages. ``pattern`` is a glob on the name.
     """
     system, path, _ = _located(folder)
     if system.get_file_info(path).type != fs.FileType.Directory:

@@ -1,5 +1,7 @@
+import os
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +219,38 @@ def test_listing_leaves_nothing_out(spark, tmp_path):
         files.list_files(spark, str(tmp_path / "falta"))
 
 
+def test_large_folders_are_listed_in_pages(tmp_path, monkeypatch):
+    """No page is larger than the limit, and the folder is not read ahead of the pages."""
+    for i in range(95):
+        put(tmp_path / "many" / f"f{i}", "x" * i)
+    (tmp_path / "many" / "sub").mkdir()
+    (tmp_path / "many" / "loop").symlink_to(tmp_path / "many", target_is_directory=True)
+    (tmp_path / "many" / "lost").symlink_to(tmp_path / "nothing")
+    monkeypatch.setattr(files, "PAGE", 10)
+    taken, scandir = [], os.scandir
+
+    class Counted:
+        def __init__(self, path):
+            self.it = scandir(path)
+        def __enter__(self):
+            return self
+        def __exit__(self, *_):
+            self.it.close()
+        def __iter__(self):
+            for e in self.it:
+                taken.append(e.name)
+                yield e
+
+    monkeypatch.setattr(os, "scandir", Counted)
+    pages = files._children([pa.RecordBatch.from_pydict({"path": [str(tmp_path / "many")]})])
+    first = next(pages)
+    assert first.num_rows == 10 and len(taken) <= 12
+    rest = list(pages)
+    assert max(p.num_rows for p in rest) <= 10 and 10 + sum(p.num_rows for p in rest) == 97
+    found = {r["path"].rsplit("/", 1)[1]: r for p in [first, *rest] for r in p.to_pylist()}
+    assert found["f7"]["length"] == 7 and found["sub"]["folder"] and "loop" not in found and found["lost"]["length"] is None
+
+
 def test_cells_with_line_breaks(spark, tmp_path):
     put(tmp_path / "s.csv", 'A,B\n"uno\ndos",1\ntres,2\n')
     assert rows(sheets.read_sheet(spark, str(tmp_path / "s.csv")), "A", "B") == [("tres", "2"), ("uno\ndos", "1")]
