@@ -1,6 +1,6 @@
 """The registry run: staged rows against the attribute and polygon tables, with a nine-sheet report."""
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import cached_property
 
@@ -66,6 +66,9 @@ class RunInfo:
     run_ts: datetime
     attr_table: str = "CM_ATRIBUTOS"
     base_table: str = "CM_BASE"
+    excel_path: str | None = None
+    gdb_path: str | None = None
+    report_path: str | None = None  # a run that writes its report fills it in
     labels: dict = field(default_factory=dict)  # further RESUMEN rows, e.g. HOJA_USADA
 
 
@@ -242,8 +245,11 @@ class RegistryRun:
         """METRICA/VALOR rows."""
         counts = self._counts()
         rows = [(m, None, v) for m, v in self.info.labels.items()]
+        paths = [("EXCEL_PATH", None, self.info.excel_path), ("GDB_PATH", None, self.info.gdb_path)]
+        rows += [r for r in paths if r[2] is not None]
         rows += [("CM_ATRIBUTOS", None, self.info.attr_table), ("CM_BASE", None, self.info.base_table)]
         rows += [(m, what, None) for m, what in COUNTED_METRICS.items()]
+        rows += [("REPORTE_XLSX", None, self.info.report_path)] if self.info.report_path is not None else []
         lines = [
             F.struct(*[F.lit(v).cast("string").alias(n) for v, n in zip(r, ("METRICA", "_what", "_label"))]) for r in rows
         ]
@@ -296,6 +302,7 @@ def run_registry_etl(stage, attr, base, info: RunInfo, out_dir, row_id="oid", on
     if on_duplicates not in ("last_wins", "fail"):
         raise RegistryError(f"on_duplicates must be last_wins or fail, got {on_duplicates}")
     folder = run_folder(out_dir, info.run_ts)
+    info = replace(info, report_path=info.report_path or folder)
     report = Publication(stage.sparkSession, folder)
     if on_duplicates == "fail":
         keyed = R.with_key(stage)

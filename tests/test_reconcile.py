@@ -93,12 +93,14 @@ def test_archived_compares_with_the_state_before(spark):
 
 
 def test_sheets_agree_with_summary(spark, tmp_path):
-    info = RunInfo(NOW, labels={"HOJA_USADA": "Hoja1"})
+    info = RunInfo(NOW, excel_path="/in/hoja.xlsx", labels={"HOJA_USADA": "Hoja1"})
     run_registry_etl(*tables(spark), info, str(tmp_path))
     folder = run_folder(str(tmp_path), NOW)
     sheet = lambda n: read_table(spark, f"{folder}/{n}")
     summary = dict(rows(sheet("RESUMEN")))
     assert summary["HOJA_USADA"] == "Hoja1" and summary["CM_BASE_INSERTS"] == "0"
+    assert (summary["EXCEL_PATH"], summary["REPORTE_XLSX"]) == ("/in/hoja.xlsx", folder) and "GDB_PATH" not in summary
+    assert summary["VALORES_NO_VALIDOS"] == "0"
     assert int(summary["DUPLICADOS_ORIGEN"]) == sheet("DUPLICADOS_ORIGEN").count() == 1
     assert int(summary["ESTADOS_VACIOS"]) == sheet("ESTADOS_VACIOS").count() == 2
     assert int(summary["EXCEL_SIN_CM_BASE"]) == sheet("EXCEL_SIN_CM_BASE").count() == 3
