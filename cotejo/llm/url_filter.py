@@ -19,7 +19,7 @@ class counts, in joins that the engine splits where a key is hot. Segmentation r
 once per distinct (host, path); pages are joined back on both.
 
 Null URLs and those without ``://`` have an empty host and path: no rule fits, and the prior decides. Repeated
-pages get equal verdicts; null ids pass through; columns other than the id are not carried. With no page at all, or none
+pages get equal verdicts; null ids pass through; labels of any length are split, in time that grows with their length; columns other than the id are not carried. With no page at all, or none
 that a rule decides, the seeds and the prior decide.
 """
 
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from cotejo.llm.common import stored
 
-LONGEST_WORD = 63  # no label of a host name is longer
+LONGEST_WORD = 63  # longer stretches are split: no label of a registered host name is longer
+LABEL_PIECE = 256  # characters of a label looked at together
 SMOOTHING = 0.5
 SEED_WEIGHT = 20.0
 PRIOR = 0.05
@@ -95,16 +96,22 @@ def segmented(labels: DataFrame, counts: DataFrame, longest=LONGEST_WORD) -> Dat
     """label, words: the likeliest split of each distinct label. A stretch that is no known word costs ten times more with
     each character."""
     total = counts.agg(F.sum("n")).first()[0] or 1
+    # Long labels go in pieces, each with the start of the next: counting characters from a far start costs as many steps.
+    short = F.length("label") <= LABEL_PIECE
+    named = labels.filter("label <> ''").withColumn("key", F.when(short, F.col("label")).otherwise(F.concat(F.lit("#"), F.md5("label"))))
+    pieces = named.select("key", F.expr(
+        f"posexplode(transform(sequence(0, (length(label) - 1) div {LABEL_PIECE}), k -> substr(label, k * {LABEL_PIECE} + 1, {LABEL_PIECE + int(longest) - 1})))"
+    ).alias("k", "piece"))
     parts = F.expr(
-        f"flatten(transform(sequence(1, length(label)), i -> transform(sequence(1, least({int(longest)}, length(label) - i + 1)),"
-        " n -> named_struct('start', i - 1, 'word', substr(label, i, n)))))"
+        f"flatten(transform(sequence(1, least({LABEL_PIECE}, length(piece))), i -> transform(sequence(1, least({int(longest)}, length(piece) - i + 1)),"
+        f" n -> named_struct('start', k * {LABEL_PIECE} + i - 1, 'word', substr(piece, i, n)))))"
     )
-    pieces = labels.filter("label <> ''").select("label", F.inline(parts))
-    known = pieces.join(counts, "word").groupBy("label").agg(
+    # The planner takes the substrings for as few as the labels; merged, they are never broadcast.
+    known = pieces.select("key", F.inline(parts)).hint("merge").join(counts, "word").groupBy("key").agg(
         F.collect_list(F.struct("start", F.length("word").alias("size"), "n")).alias("edges")  # at most label x longest
     )
     split = F.pandas_udf(_splitter(total, longest), "array<string>")
-    return labels.filter("label <> ''").join(known, "label", "left").select("label", split("label", "edges").alias("words"))
+    return named.join(known, "key", "left").select("label", split("label", "edges").alias("words"))
 
 
 def _splitter(total, longest):

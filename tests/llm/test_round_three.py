@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cotejo.llm import manifest, queries, ranks, resampling, sharding
+from cotejo.llm import manifest, queries, ranks, resampling, sharding, url_filter
 from tests.llm.test_operators import AWKWARD, SF, empty
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -214,6 +214,30 @@ def test_spans():
     assert resampling.spans(b"", resampling.gram_pattern(2), 2).shape == (0, 2)
 
 
+# ---- older operators on awkward rows
+
+
+def test_very_long_host_labels(spark):
+    """A label of 60,000 letters is split like a short one, words across the pieces it is looked at in included."""
+    text = "alpha beta gamma " * 50
+    label = "alphabetagamma" * 4300
+    rows = [(None, f"http://{label}.org/x", f"<p>{text}</p>"), (2, "http://betaalpha.org/", "<p></p>"), (2, "http://betaalpha.org/", None), (3, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("verdict", F.lit("x"))
+    got = url_filter.judged(pages, queries.URL_RULES).collect()
+    assert sorted((r["page_id"] or 0, len(r["host"]), r["rule"]) for r in got) == [(0, len(label) + 4, None), (2, 13, None), (2, 13, None), (3, 0, None)]
+    counts = spark.createDataFrame([("alpha", 50), ("beta", 50), ("gamma", 50)], "word string, n long")
+    names = spark.createDataFrame([(label,), ("betaalpha",), ("",)], "label string")
+    words = {r["label"]: r["words"] for r in url_filter.segmented(names, counts).collect()}
+    assert words == {label: ["alpha", "beta", "gamma"] * 4300, "betaalpha": ["beta", "alpha"]}
+
+
+def test_held_out_of_a_null_id_is_false(spark):
+    docs = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "doc_id long")
+    for parts, part in ((3, 1), (5, 0)):
+        got = {r["doc_id"]: r["held_out"] for r in docs.select("doc_id", queries.told_held_out(parts, part)).collect()}
+        assert got == {i: i is not None and zlib.crc32(str(i).encode()) % parts == part for i in (None, 1, 2, 3, 4)}
+
+
 # ---- 13 shards
 
 
