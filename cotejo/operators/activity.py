@@ -137,7 +137,11 @@ def tasks_without_mail_sheet(tasks: DataFrame) -> DataFrame:
 
 
 def task_report(tasks: DataFrame, mail: DataFrame, null_subjects_match=False) -> DataFrame:
-    """Tasks and mail by date; whether the mail sheet is empty is found out inside the plan."""
+    """Tasks and mail by date; whether the mail sheet is empty is found out inside the plan.
+
+    Both are read several times, for the counts of busy pairs and for the joins, and are stored first.
+    """
+    tasks, mail = stored(tasks.select(*TASK_COLUMNS)), stored(mail.select("FECHA", "ASUNTO", "DESTINATARIOS"))
     empty = mail.limit(1).agg(F.count("*") == 0).scalar()
     joined = tasks_with_mail(tasks, mail, null_subjects_match)
     return by_date(joined.withColumn("DESTINATARIOS", F.when(empty, F.lit("")).otherwise(F.col("DESTINATARIOS"))))
