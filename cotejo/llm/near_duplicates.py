@@ -9,8 +9,14 @@ Documents with equal shingle sets collapse first (128-bit set hash), so copies a
 compared with the bucket's centre only. Sets that are not linked to their centre then meet the other sets of that centre
 in blocks of ``BLOCK`` by ``BLOCK``, from which only links leave: of a block's pairs those are looked at that the
 triangle inequality of the Jaccard distance leaves open, that are not in one component already, that sizes allow, and
-whose registers' estimate, corrected for register collisions, is not six deviations below the threshold. Every pair is confirmed on full shingle sets. So no
-bucket is expanded into rows of pairs, and no link between candidates is lost. Components come from star contraction over the confirmed links, in frames stored per round.
+whose registers' estimate, corrected for register collisions, is not six deviations below the threshold. Every pair is confirmed on
+full shingle sets. So no bucket is expanded into rows of pairs. A link between candidates is lost only where a register
+estimate errs by six deviations (some 1e-9 of the pairs at the threshold). Components come from star contraction over the
+confirmed links, in frames stored per round.
+
+A centre may hold a third of all sets. Joins on the centre first set apart the ``HEAVY`` or fewer centres that hold more
+than one ``HEAVY``-th of the rows and broadcast one small row for each; a centre's text is repeated once for every
+``BLOCK`` of its sets, which are dealt among the copies. Blocks and groups of blocks are bounded by sets and by shingles.
 
 A shingle is ``size`` consecutive words, A-Z lower-cased; a text of fewer words is one shingle of them all. Documents
 without words or text have no shingles, link with nothing and are kept. Rows that share an id, null ids among them, and
@@ -32,6 +38,8 @@ MANTISSA = 10
 THRESHOLD = 0.8
 SHINGLE = 5
 BLOCK = 1024
+BLOCK_SHINGLES = BLOCK * 1024
+HEAVY = 1000
 _LENDERS = 4096
 
 
@@ -167,7 +175,8 @@ def first_of_each(documents: DataFrame, size=SHINGLE, threshold=THRESHOLD, doc_i
 def _labelled(documents, names, size, threshold, doc_id, text):
     """(rows with their set, sets with their node and component)."""
     packed = documents.select(F.struct(*[documents[c] for c in names]).alias("row_"), F.col(doc_id).alias("id_"), F.col(text).cast("string").alias("text_"))
-    rows = stored(sketches(packed, size, "text_", ["row_", "id_"]))
+    packed = packed.withColumn("hash_", F.xxhash64("text_"))
+    rows = stored(sketches(packed, size, "text_", ["row_", "id_", "hash_"]))
     nodes, links = linked(rows, packed, size, threshold)
     label = nodes.drop("registers").join(components(links), "node", "left").withColumn("part", F.coalesce("part", "node"))
     return rows, label.join(label.groupBy("part").agg(F.min("id").alias("component_id")), "part")
@@ -175,13 +184,19 @@ def _labelled(documents, names, size, threshold, doc_id, text):
 
 def linked(rows: DataFrame, packed: DataFrame, size, threshold):
     """(nodes: one per distinct non-empty set, links: confirmed pairs of nodes)."""
-    sets = rows.filter("n_shingles > 0").groupBy(*_SET).agg(F.min("id_").alias("id"), F.any_value("registers").alias("registers"))
+    place = F.struct(F.col("id_").isNull().alias("no_id"), "id_", "hash_")  # one of the set's texts, of the smallest id
+    sets = rows.filter("n_shingles > 0").groupBy(*_SET).agg(F.min(place).alias("place"), F.any_value("registers").alias("registers"))
+    sets = sets.select(*_SET, F.col("place.id_").alias("id"), F.col("place.hash_").alias("hash"), "registers")
     nodes = stored(sets.withColumn("node", F.monotonically_increasing_id()))
     bands = nodes.select("node", "registers").mapInArrow(_band_keys, "key long, node long")
     centres = bands.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n_")).filter("n_ > 1").drop("n_")
     spokes = stored(bands.join(centres, "key").filter("node <> centre").select("centre", "node").distinct())
     texts = texts_of(spokes.select(F.explode(F.array("centre", "node")).alias("node")).distinct(), nodes, packed, size)
-    both = spokes.select(F.col("centre").alias("a"), F.col("node").alias("b")).join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    n_spokes = stored(spokes.groupBy("centre").agg(F.count("*").alias("n_")))
+    copies = F.ceil(F.col("n_") / BLOCK)
+    dealt = met_at_centre(spokes, n_spokes, "n_").select(F.col("centre").alias("a"), F.col("node").alias("b"), F.pmod(F.xxhash64("node"), copies).alias("salt"))
+    of_a = texts.toDF("a", "text_a").join(n_spokes.withColumnRenamed("centre", "a"), "a").select("a", "text_a", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("salt"))
+    both = dealt.join(texts.toDF("b", "text_b"), "b").join(of_a, ["a", "salt"])
     first = both.select("a", "b", "text_a", "text_b").mapInArrow(_overlaps(size), "a long, b long, both long, either long")
     good = F.col("both") * 100 >= F.lit(round(threshold * 100)) * F.col("either")
     first = stored(first.select(F.col("a").alias("centre"), F.col("b").alias("node"), (1 - F.col("both") / F.col("either")).alias("d"), good.alias("in_")))
@@ -189,30 +204,45 @@ def linked(rows: DataFrame, packed: DataFrame, size, threshold):
 
     # sets that are open at a centre, and those that may be near one of them: distances to the centre differ by at most 1 - threshold
     far = 1 - threshold + 1e-9
-    open_ = first.filter("NOT in_").groupBy("centre").agg(F.min("d").alias("least"), F.count("*").alias("n_open"))
-    ring = first.join(open_, "centre").filter(F.col("d") >= F.col("least") - far)
-    ring = ring.join(components(links), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    ring = ring.join(ring.groupBy("centre").agg(F.count("*").alias("n_ring")).filter("n_ring > 1"), "centre")
-    across, down = (F.ceil(F.col(c) / BLOCK) for c in ("n_ring", "n_open"))
+    open_ = F.when(~F.col("in_"), F.col("d"))
+    facts = stored(first.groupBy("centre").agg(F.min(open_).alias("least"), F.count("*").alias("n_all")).filter("least IS NOT NULL"))
+    ring = met_at_centre(first, facts, "n_all").filter(F.col("d") >= F.col("least") - far).select("centre", "node", "d", "in_")
+    ring = ring.join(nodes.select("node", F.col("n_shingles").alias("weight")), "node").join(components(links), "node", "left")
+    ring = stored(ring.withColumn("part", F.coalesce("part", "node")))
+    of_open = [F.sum(F.when(~F.col("in_"), c).otherwise(0)) for c in (F.lit(1), F.col("weight"))]
+    counts = ring.groupBy("centre").agg(F.count("*").alias("n_ring"), F.sum("weight").alias("w_ring"), of_open[0].alias("n_open"), of_open[1].alias("w_open"))
+    ring = met_at_centre(ring, stored(counts), "n_ring").filter("n_ring > 1")
+    across, down = (F.ceil(F.greatest(F.col("n_" + c) / BLOCK, F.col("w_" + c) / BLOCK_SHINGLES)) for c in ("ring", "open"))
     sides = [F.struct(F.lit(False).alias("open"), F.pmod(F.xxhash64("node"), across).alias("x"), F.sequence(F.lit(0).cast("long"), down - 1).alias("ys"))]
     sides.append(F.struct(F.lit(True).alias("open"), F.pmod(F.xxhash64("node"), down).alias("y"), F.sequence(F.lit(0).cast("long"), across - 1).alias("xs")))
-    base = ["centre", "node", "d", "part"]
+    base = ["centre", "node", "d", "part", "weight"]
     as_x = ring.withColumn("s", sides[0]).select(*base, "s.open", "s.x", F.explode("s.ys").alias("y"))
     as_y = ring.filter("NOT in_").withColumn("s", sides[1]).select(*base, "s.open", F.explode("s.xs").alias("x"), "s.y")
     blocks = stored(as_x.unionByName(as_y))
-    groups = -(-max(blocks.count(), 1) // (2 * BLOCK))
-    blocks = blocks.withColumn("group", F.pmod(F.xxhash64("centre", "x", "y"), F.lit(groups)))
+    n, weight = blocks.agg(F.count("*"), F.sum("weight")).first()
+    groups = 1 + max(n // (2 * BLOCK), (weight or 0) // (2 * BLOCK_SHINGLES))
+    blocks = blocks.drop("weight").withColumn("group", F.pmod(F.xxhash64("centre", "x", "y"), F.lit(groups)))
     blocks = blocks.join(texts, "node").join(nodes.select("node", "registers", "n_shingles"), "node")
     more = blocks.groupBy("group").applyInArrow(_near_in_blocks(size, threshold), "a long, b long")
     return nodes, stored(links.unionByName(more))
 
 
+def met_at_centre(rows: DataFrame, small: DataFrame, count) -> DataFrame:
+    """Rows joined to the one row of ``small`` (stored) of their centre. ``count`` is that centre's number of rows: at most
+    ``HEAVY`` centres hold more than one ``HEAVY``-th of all, and their rows of ``small`` are broadcast; no other is hot."""
+    heavy = F.col(count) > (small.agg(F.sum(count)).first()[0] or 0) / HEAVY
+    few = F.broadcast(small.filter(heavy))
+    rest = rows.join(F.broadcast(few.select("centre")), "centre", "left_anti").join(small.filter(~heavy), "centre")
+    return rows.join(few, "centre").unionByName(rest)
+
+
 def texts_of(wanted: DataFrame, nodes: DataFrame, packed: DataFrame, size) -> DataFrame:
     """node, text: one whole text of each wanted node."""
     wanted = wanted.join(nodes.drop("registers"), "node")
-    found = wanted.join(packed.select("id_", "text_"), F.col("id").eqNullSafe(F.col("id_")))
+    # null and repeated ids are told apart by their texts' hashes
+    found = wanted.join(packed.select("id_", "hash_", "text_"), F.col("id").eqNullSafe(F.col("id_")) & (F.col("hash") == F.col("hash_")))
 
-    def same_set(texts):  # an id may stand for several texts: only the one with the node's set counts
+    def same_set(texts):  # equal hashes of different texts: only the one with the node's set counts
         counts, high, low = set_hash(*shingle_sets(texts, size), len(texts))
         return [pa.array(counts, pa.int64()), pa.array(high), pa.array(low)]
 
