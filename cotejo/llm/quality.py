@@ -4,7 +4,8 @@ Everything per document is built-in column functions. ``statistics`` measures wh
 labelled documents per cell of binned statistics (one aggregation; the cut points are percentiles of the good
 documents, so the table of cells is bounded by ``(cuts + 1) ** features``) and covers the bad ones rule by rule on those
 counts: a rule grows by the threshold with the best information gain on the growing part of the labels, is pruned from
-the back on the other part, and joins the list while it is precise enough there. ``verdict`` is the list as one
+the back on the other part, and joins the list while it is precise enough there. A rule has at most ``MOST_LITERALS``
+thresholds and the list at most ``MOST_RULES`` rules, so that it stays readable. ``verdict`` is the list as one
 conditional expression: the first rule that holds names the reason, none means the document is kept.
 
 Words are what lies between spaces and the characters from tab to carriage return. A null text counts as empty. Labels
@@ -15,6 +16,7 @@ rules. Documents are never joined to their labels but by the small statistics ta
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,37 +124,47 @@ def _centred(known: DataFrame, rules) -> list:
     return [tuple(Literal(one.feature, one.above, (one.bound + next(edges)) / 2) for one in rule) for rule in rules]
 
 
-def _holds(cell, rule):
-    return all((cell[k] > c) == above for k, above, c in rule)
+def _covering(cells, sizes, precision):
+    """Rules as tuples of (feature, above, cut): grown, pruned, and taken until one is not precise on the pruning part.
 
+    ``cells`` are (bins, growing part, bad, good). What all literals cover comes from one histogram for each feature.
+    """
+    bins = np.array([c[0] for c in cells], np.int64).reshape(len(cells), len(sizes))
+    grow = np.array([c[1] for c in cells], bool)
+    counts = np.array([c[2:] for c in cells], np.float64).reshape(len(cells), 2)
+    literals = [(k, above, c) for k, n in enumerate(sizes) for c in range(n) for above in (True, False)]
 
-def _covered(cells, rule, grow):
-    bad = good = 0
-    for cell, part, b, g in cells:
-        if part == grow and _holds(cell, rule):
-            bad, good = bad + b, good + g
-    return bad, good
+    def holds(one):
+        k, above, c = one
+        return (bins[:, k] > c) == above
 
+    def covered(rows):
+        return counts[rows].sum(0)
 
-def _covering(cells, sizes, precision):
-    """Rules as tuples of (feature, above, cut): grown, pruned, and taken until one is not precise on the pruning part."""
-    literals = [(k, above, c) for k, n in enumerate(sizes) for c in range(n) for above in (True, False)]
-    rules = []
+    def each(rows):  # (bad, good) of every literal, in their order
+        out = []
+        for k, n in enumerate(sizes):
+            upto = np.stack([np.cumsum(np.bincount(bins[rows, k], counts[rows, j], n + 1)) for j in (0, 1)], 1)
+            out.append(np.stack([upto[-1] - upto[:n], upto[:n]], 1).reshape(2 * n, 2))
+        return np.concatenate(out)
+
+    left, rules = np.ones(len(cells), bool), []
     while len(rules) < MOST_RULES:
-        rule, (bad, good) = (), _covered(cells, (), True)
+        rule, inside = (), left & grow
+        bad, good = covered(inside)
         while good and bad and len(rule) < MOST_LITERALS:
-            best = (1e-9, None, None)
-            for one in literals:
-                b, g = _covered(cells, (*rule, one), True)
-                if b:
-                    gain = b * (math.log2(b / (b + g)) - math.log2(bad / (bad + good)))
-                    best = max(best, (gain, one, (b, g)), key=lambda x: x[0])
-            if best[1] is None:
+            told = each(inside)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = told[:, 0] * (np.log2(told[:, 0] / told.sum(1)) - math.log2(bad / (bad + good)))
+            gain = np.where(told[:, 0] > 0, gain, 0.0)
+            best = int(np.argmax(gain))
+            if gain[best] <= 1e-9:
                 break
-            rule, (bad, good) = (*rule, best[1]), best[2]
-        worth = []
-        for n in range(1, len(rule) + 1):
-            b, g = _covered(cells, rule[:n], False)
+            rule, inside, (bad, good) = (*rule, literals[best]), inside & holds(literals[best]), told[best]
+        worth, inside = [], left & ~grow
+        for n, one in enumerate(rule, 1):
+            inside = inside & holds(one)
+            b, g = covered(inside)
             worth.append(((b - g) / max(b + g, 1), -n, b, g))
         if not worth:
             break
@@ -160,7 +172,9 @@ def _covering(cells, sizes, precision):
         if b < 3 or b < precision * (b + g):
             break
         rules.append(rule[:-n])  # n is minus the length
-        cells = [x for x in cells if not _holds(x[0], rules[-1])]
+        for one in rules[-1]:
+            inside = holds(one) if one is rules[-1][0] else inside & holds(one)
+        left &= ~inside
     return rules
 
 
