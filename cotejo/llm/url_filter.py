@@ -11,6 +11,14 @@ segments as the longest rule path has are no tokens, neither in training nor in
 nothing, as all its words would only repeat the rule. A host counts once, however many pages it has. The prior is a
 stated share of bad pages (``prior``), not the rules' share.
 
+Two views teach each other. Hosts that hold a seed word are the first bad ones. A word that hosts show tells when at
+least ``SUPPORT`` bad hosts show it and they are ``PURITY`` of all that do, and ``LIFT`` times their share of all hosts; a
+host is bad by its pages when at least ``TELLING_KINDS`` such words make up ``TELLING_SHARE`` of what it shows. New bad
+hosts make more words tell, for ``ROUNDS`` rounds. In the end every host that shows a word teaches its URL tokens to the class it is in, and
+the prior is the share of bad hosts, with the stated prior as ``PRIOR_HOSTS`` hosts besides. The pages' words never score a
+page: a URL is judged by its own tokens alone. With fewer than ``SUPPORT`` hosts that hold a seed word no word can tell,
+and their words are not counted.
+
 ``seeds`` is the caller's list of host words, each with its plural in s; the short default is general and not drawn from
 any table. Words that neither the seeds nor the ruled pages tell about say nothing.
 
@@ -38,6 +46,10 @@ LABEL_PIECE = 256  # characters of a label looked at together
 SMOOTHING = 0.5
 SEED_WEIGHT = 20.0
 PRIOR = 0.05
+PRIOR_HOSTS = 20
+SUPPORT, PURITY, LIFT, PURE = 3, 0.25, 2.0, 0.75
+TELLING_KINDS, TELLING_SHARE = 5, 0.05
+ROUNDS = 3
 BLOCK_SEEDS = ("bet", "poker", "porn", "tracker")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -85,11 +97,45 @@ def named(rules):
     return sorted(labels), max((len([x for x in r.path.split("/") if x]) for r in rules), default=0)
 
 
-def unigrams(pages: DataFrame, html="html") -> DataFrame:
-    """word, n: how often each word of the pages' visible text occurs."""
+def shown_words(pages: DataFrame, columns=(), html="html") -> DataFrame:
+    """The columns, word, n: how often each word of the pages' visible text occurs."""
     visible = F.regexp_replace(F.col(html), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
     words = F.split(F.lower(visible), r"[^\p{L}]+")
-    return pages.select(F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    return pages.select(*columns, F.explode(words).alias("word")).filter("word <> ''").groupBy(*columns, "word").agg(F.count("*").alias("n"))
+
+
+def unigrams(pages: DataFrame, html="html") -> DataFrame:
+    return shown_words(pages, (), html)
+
+
+def classed_hosts(pages: DataFrame, anchors: DataFrame, host="host", html="html") -> DataFrame | None:
+    """host, bad (1 or 0) of the anchors and of every host that shows a word; bad are the anchors and the hosts whose pages
+    show what bad hosts show. None where no word can tell.
+
+    ``pages`` holds host and html. A word has one row for each host that shows it.
+    """
+    bad = n = None
+    for step in range(ROUNDS):
+        bad = anchors if bad is None else bad
+        now = bad.count()
+        if now < SUPPORT:
+            return None
+        if now == n:
+            break
+        if step == 0:
+            shown = stored(shown_words(pages, (host,), html))
+            totals = stored(shown.groupBy(host).agg(F.sum("n").alias("all_")))
+            hosts = max(totals.count(), 1)
+        n = now
+        mine = shown.join(bad.withColumn("bad_", F.lit(1)), host, "left")
+        told = mine.groupBy("word").agg(F.count("*").alias("hosts_"), F.sum(F.coalesce("bad_", F.lit(0))).alias("bad_"))
+        share = F.col("bad_") / F.col("hosts_")
+        told = told.filter((F.col("bad_") >= SUPPORT) & (share >= PURITY) & (share >= min(LIFT * n / hosts, PURE))).select("word")
+        found = shown.join(told, "word").groupBy(host).agg(F.count("*").alias("kinds_"), F.sum("n").alias("n")).join(totals, host)
+        found = found.filter((F.col("kinds_") >= TELLING_KINDS) & (F.col("n") >= TELLING_SHARE * F.col("all_"))).select(host)
+        bad = stored(found.unionByName(anchors).distinct())
+    every = totals.select(host, F.lit(0.0).alias("bad")).unionByName(bad.select(host, F.lit(1.0).alias("bad")))
+    return stored(every.groupBy(host).agg(F.max("bad").alias("bad")))
 
 
 def segmented(labels: DataFrame, counts: DataFrame, longest=LONGEST_WORD) -> DataFrame:
@@ -138,8 +184,9 @@ def viterbi(label, edges, total, longest=LONGEST_WORD):
     return words[::-1]
 
 
-def learnt_from(tokens: DataFrame, smoothing=SMOOTHING, seeds=(), seed_weight=SEED_WEIGHT) -> DataFrame:
-    """token, odds: log odds of ``block`` of each token, from rows (host, zone, pages, block, tokens) that rules decide."""
+def learnt_from(tokens: DataFrame, smoothing=SMOOTHING, seeds=(), seed_weight=SEED_WEIGHT, besides: DataFrame = None) -> DataFrame:
+    """token, odds: log odds of ``block`` of each token, from rows (host, zone, pages, block, tokens) that rules decide, and
+    from token counts (token, b, a) known besides."""
     totals = tokens.groupBy("host").agg(F.sum("pages").alias("all_"))
     share = F.col("n") / F.col("all_")  # of the host's pages; all its pages weigh one
     zones = tokens.groupBy("zone", "host", "block").agg(F.sum("pages").alias("n")).join(totals, "host").withColumn("n", share)
@@ -148,7 +195,8 @@ def learnt_from(tokens: DataFrame, smoothing=SMOOTHING, seeds=(), seed_weight=SE
     told = tokens.select("zone", "host", "block", "pages", F.explode("tokens").alias("token"))
     told = told.groupBy("zone", "host", "block", "token").agg(F.sum("pages").alias("n")).join(totals, "host").withColumn("n", share)
     told = told.groupBy("zone", "token").agg(*_counted()).join(zones, "zone")
-    told = stored(told.groupBy("token").agg(F.sum(F.col("b") * F.col("for_b")).alias("b"), F.sum(F.col("a") * F.col("for_a")).alias("a")))
+    told = told.groupBy("token").agg(F.sum(F.col("b") * F.col("for_b")).alias("b"), F.sum(F.col("a") * F.col("for_a")).alias("a"))
+    told = stored(told if besides is None else told.unionByName(besides).groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a")))
     b, a, kinds = told.agg(F.sum("b"), F.sum("a"), F.count("*")).first()
     if seeds:  # they add to their own tokens, not to the totals
         seeded = tokens.sparkSession.createDataFrame([(f"host:{w}{s}", float(seed_weight), 0.0) for w in seeds for s in ("", "s")], "token string, b double, a double")
@@ -182,7 +230,20 @@ def judged(
 
     block = F.col("ruled.verdict") == "block"
     decided = tokens.filter("ruled IS NOT NULL").select("host", zoned(F.col("host"), rules).alias("zone"), "pages", block.alias("block"), "tokens")
-    learnt = learnt_from(decided, smoothing, seeds, seed_weight)
+    by_host = tokens.groupBy("host").agg(F.sum("pages").alias("all_"))
+    seeded = F.array(*[F.lit(f"host:{w}{s}") for w in seeds for s in ("", "s")]).cast("array<string>")
+    anchors = stored(tokens.filter(F.arrays_overlap("tokens", seeded)).select("host").distinct())
+    shown = pages.select(host_and_path(F.col(url).cast("string"))[0].alias("host"), html)
+    classes, besides = classed_hosts(shown, anchors, html=html), None
+    if classes is not None:
+        n, bad = classes.agg(F.count("*"), F.sum("bad")).first()
+        prior = (bad + prior * PRIOR_HOSTS) / (n + PRIOR_HOSTS)
+        besides = tokens.select("host", "pages", F.explode("tokens").alias("token")).groupBy("host", "token").agg(F.sum("pages").alias("n"))
+        share = F.col("n") / F.col("all_")  # a host weighs one, however many pages it has
+        besides = besides.join(by_host, "host").join(classes, "host").groupBy("token").agg(
+            F.sum(share * F.col("bad")).alias("b"), F.sum(share * (1 - F.col("bad"))).alias("a")
+        )
+    learnt = learnt_from(decided, smoothing, seeds, seed_weight, besides)
     told = tokens.filter("ruled IS NULL").select("host", "path", F.explode("tokens").alias("token"))
     told = told.join(learnt, "token").groupBy("host", "path").agg(F.round(F.sum("odds"), 9).alias("sum_"))  # a token no class has says nothing
 
