@@ -5,6 +5,9 @@ that is at least its extent, so it covers at most four cells however large it is
 its larger member. The finer member is looked up there by its ancestor cells. A pair is kept only in the cell of
 the lower left corner of its common box, so no duplicate removal is needed. Candidates thus grow with the true
 neighbours and not with the square of the rows in a cell; AQE splits a crowded cell on either side of the join.
+
+Grid entries are many times larger than the files they come from, and Spark plans by the files' size. So the join is
+sorted by hint: else a table of a few megabytes is broadcast, and its entries pass whole through the driver.
 """
 
 from pyspark.sql import DataFrame
@@ -78,7 +81,7 @@ def candidate_pairs(subjects: DataFrame, parcels: DataFrame, cell=1.0, keep_s=()
     corner = (F.floor(F.greatest("s_xmin", "p_xmin") / size) == F.col("cx")) & (
         F.floor(F.greatest("s_ymin", "p_ymin") / size) == F.col("cy")
     )
-    return left.join(right, list(meet)).where(boxes_meet("s_", "p_") & corner)
+    return left.join(right.hint("merge"), list(meet)).where(boxes_meet("s_", "p_") & corner)
 
 
 def first_polygons(parcels: DataFrame, ids: DataFrame, id_col="EXPEDIENTE") -> DataFrame:

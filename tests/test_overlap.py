@@ -265,3 +265,22 @@ def test_large_rings_in_seconds(spark):
     assert time.perf_counter() - start < 60  # most of it is building the frame; all combinations would be 1.2e9 edges
     left, right = (G._Batch(*[pd.Series([c]) for c in circle(n, x)]) for x in (0, 1))
     assert G._Sweep(left, right).cost()[0] < 20 * n
+
+
+def boxes(spark, n=40):
+    return spark.sql(
+        f"SELECT id AS oid, concat('E', id) AS EXPEDIENTE, 'VIGENTE' AS ESTADO, id * 0.75D AS xmin, 0D AS ymin, id * 0.75D + 1 AS xmax, 1D AS ymax FROM range({n})"
+    )
+
+
+def planned_broadcasts(df):
+    """Broadcasts that the planner takes from the size of the files, except for look-ups by key, whose sides are shuffled and measured first."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Broadcast" in line and "Join" in line and "_key_hash#" not in line]
+
+
+def test_grid_entries_are_not_broadcast(spark):
+    df = boxes(spark)
+    found = O.overlaps(df, df)
+    assert planned_broadcasts(found) == []
+    assert found.count() == 2 * 39
