@@ -284,3 +284,11 @@ def test_grid_entries_are_not_broadcast(spark):
     found = O.overlaps(df, df)
     assert planned_broadcasts(found) == []
     assert found.count() == 2 * 39
+
+
+def test_entries_of_new_parcels_are_not_broadcast(spark):
+    base = boxes(spark)
+    new = base.selectExpr("oid", "concat('N', oid) AS EXPEDIENTE", "xmin + 0.25D AS xmin", "ymin", "xmax + 0.25D AS xmax", "ymax")
+    found = O.overlaps_of_new(new, base, base)
+    assert planned_broadcasts(found) == []
+    assert found.count() == 40 + 39 + 39  # its own place, the next one there and the new one before it
