@@ -292,3 +292,10 @@ def test_entries_of_new_parcels_are_not_broadcast(spark):
     found = O.overlaps_of_new(new, base, base)
     assert planned_broadcasts(found) == []
     assert found.count() == 40 + 39 + 39  # its own place, the next one there and the new one before it
+
+
+def test_report_lines_broadcast_no_entries(spark):
+    df = boxes(spark)
+    lines = O.report_lines(O.overlaps(df, df), O.analysed_subjects(df, df))
+    assert planned_broadcasts(lines) == []
+    assert lines.count() == 40 + 2 * 39
