@@ -6,8 +6,8 @@ its larger member. The finer member is looked up there by its ancestor cells. A
 the lower left corner of its common box, so no duplicate removal is needed. Candidates thus grow with the true
 neighbours and not with the square of the rows in a cell; AQE splits a crowded cell on either side of the join.
 
-Grid entries are many times larger than the files they come from, and Spark plans by the files' size. So the join is
-sorted by hint: else a table of a few megabytes is broadcast, and its entries pass whole through the driver.
+Grid entries and rings are many times larger than the files they come from, and Spark plans by the files' size. So these
+joins are sorted by hint: else a table of a few megabytes is broadcast, and its entries pass whole through the driver.
 """
 
 from pyspark.sql import DataFrame
@@ -113,7 +113,7 @@ def _measured(pairs, subjects, parcels, shape, xy_tol, area_tol):
     # Rings are fetched by row id for the surviving pairs only, not carried through the grid.
     for side, df in (("s_", subjects), ("p_", parcels)):
         rings = df.select(F.col("oid").alias(f"{side}oid"), *[F.col(c).alias(side + c) for c in RING])
-        pairs = pairs.join(rings, f"{side}oid")
+        pairs = pairs.join(rings.hint("merge"), f"{side}oid")
     # Measuring costs far more than moving a pair, so the pairs are spread evenly first.
     pairs = pairs.repartition("s_oid", "p_oid")
     measure = polygon_overlap(xy_tol, area_tol)

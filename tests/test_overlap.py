@@ -299,3 +299,10 @@ def test_report_lines_broadcast_no_entries(spark):
     lines = O.report_lines(O.overlaps(df, df), O.analysed_subjects(df, df))
     assert planned_broadcasts(lines) == []
     assert lines.count() == 40 + 2 * 39
+
+
+def test_rings_are_not_broadcast(spark):
+    df = boxes(spark).selectExpr("*", "array(xmin, xmax, xmax, xmin) AS xs", "array(ymin, ymin, ymax, ymax) AS ys", "array(4) AS ring_sizes")
+    found = O.overlaps(df, df, shape="ring")
+    assert planned_broadcasts(found) == []
+    assert found.count() == 2 * 39
