@@ -229,3 +229,14 @@ def test_hot_key_plans(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_metrics_store_the_staged_rows_alone(spark, monkeypatch):
+    """Each snapshot is read once, for its counts, so it is not written first."""
+    from queryset import registry
+
+    sf, written, store = "/root/testdata/sf0.001", [], registry.stored
+    monkeypatch.setattr(registry, "stored", lambda df: written.append(df.columns) or store(df))
+    found = rows(registry.run_metrics(spark, sf))
+    assert len(written) == 1 and "row_seq" in written[0] and "ACCION" not in written[0]
+    assert found == rows(registry._stored_run(spark, sf).summary())
