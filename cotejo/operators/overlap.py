@@ -6,8 +6,8 @@ its larger member. The finer member is looked up there by its ancestor cells. A
 the lower left corner of its common box, so no duplicate removal is needed. Candidates thus grow with the true
 neighbours and not with the square of the rows in a cell; AQE splits a crowded cell on either side of the join.
 
-Grid entries and rings are many times larger than the files they come from, and Spark plans by the files' size. So these
-joins are sorted by hint: else a table of a few megabytes is broadcast, and its entries pass whole through the driver.
+Grid entries, rings and ids are many times larger than the files they come from, and Spark plans by the files' size. So
+these joins are sorted by hint: else a table of a few megabytes is broadcast, and its rows pass whole through the driver.
 """
 
 from pyspark.sql import DataFrame
@@ -87,7 +87,8 @@ def candidate_pairs(subjects: DataFrame, parcels: DataFrame, cell=1.0, keep_s=()
 def first_polygons(parcels: DataFrame, ids: DataFrame, id_col="EXPEDIENTE") -> DataFrame:
     """The first parcel (lowest oid) of every wanted id."""
     wanted = ids.select(id_col).distinct()
-    return one_per_key(lookup_join(parcels, wanted, id_col, "left_semi"), id_col, F.asc("oid"))
+    # Both sides hold an id once and lie by id already, so they meet without a further shuffle.
+    return one_per_key(parcels, id_col, F.asc("oid")).join(wanted.hint("merge"), id_col, "left_semi")
 
 
 def subject_problems(parcels: DataFrame, ids: DataFrame, shape="box", id_col="EXPEDIENTE") -> DataFrame:
@@ -96,14 +97,13 @@ def subject_problems(parcels: DataFrame, ids: DataFrame, shape="box", id_col="EX
     blank = is_blank(id_col)
     missing = ids.where(blank).select(F.lit("").alias(id_col), F.lit("EXPEDIENTE_VACIO").alias("PROBLEMA")).distinct()
     wanted = ids.where(~blank).select(id_col).distinct()
-    rows = lookup_join(_with_area(parcels, shape), wanted, id_col, "left_semi")
     area = F.when(_has_shape(shape), F.struct("oid", "area"))
-    firsts = rows.groupBy(id_col).agg(F.min(area)["area"].alias("_area"), F.lit(True).alias("_found"))
+    firsts = _with_area(parcels, shape).groupBy(id_col).agg(F.min(area)["area"].alias("_area"), F.lit(True).alias("_found"))
     problem = F.when(F.col("_found").isNull(), "EXPEDIENTE_NO_ENCONTRADO").when(
         F.coalesce(F.col("_area"), F.lit(0.0)) == 0, "AREA_CERO"
     )
-    found = wanted.join(firsts, id_col, "left").select(id_col, problem.alias("PROBLEMA")).where("PROBLEMA IS NOT NULL")
-    return found.unionByName(missing)
+    found = wanted.join(firsts.hint("merge"), id_col, "left").select(id_col, problem.alias("PROBLEMA"))
+    return found.where("PROBLEMA IS NOT NULL").unionByName(missing)
 
 
 def _measured(pairs, subjects, parcels, shape, xy_tol, area_tol):
@@ -288,7 +288,7 @@ def report_lines(found: DataFrame, subjects: DataFrame) -> DataFrame:
         ).alias("line"),
     )
     with_hits = found.select(F.col("EXPEDIENTE_BASE").alias("id")).distinct()
-    empty = lookup_join(subjects, with_hits, "id", "left_anti").select(
+    empty = subjects.join(with_hits.hint("merge"), "id", "left_anti").select(
         F.col("id").alias("EXPEDIENTE_BASE"), F.lit(2).alias("part"), F.lit(0.0).alias("share"),
         F.lit(0).cast("long").alias("oid"),
         F.lit("No se detectaron traslapes válidos.").alias("line"),

@@ -306,3 +306,29 @@ def test_rings_are_not_broadcast(spark):
     found = O.overlaps(df, df, shape="ring")
     assert planned_broadcasts(found) == []
     assert found.count() == 2 * 39
+
+
+def broadcasts(df):
+    """All broadcasts of the plan, look-ups by key included: these are planned by the size of the files as well."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "BroadcastExchange" in line]
+
+
+def test_wanted_ids_are_not_broadcast(spark):
+    df = boxes(spark)
+    found, subjects = O.overlaps(df, df), O.analysed_subjects(df, df)
+    assert [broadcasts(x) for x in (found, subjects, O.report_lines(found, subjects), O.subject_problems(df, df))] == [[]] * 4
+
+
+def test_report_of_stored_overlaps_broadcasts_nothing(spark, tmp_path):
+    df = boxes(spark)
+    O.overlaps(df, df.where("oid < 3")).write.parquet(str(tmp_path / "found"))
+    lines = O.report_lines(spark.read.parquet(str(tmp_path / "found")), O.analysed_subjects(df, df.where("oid < 3 OR oid = 20")))
+    assert broadcasts(lines) == []
+    assert [r[0][:17] for r in lines.collect()].count("No se detectaron ") == 1  # 20 is not among those found
+
+
+def test_first_polygon_of_wanted_ids_only(spark):
+    df = spark.createDataFrame([(3, "A"), (1, None), (2, "A"), (4, "B"), (5, ""), (6, "C")], "oid long, EXPEDIENTE string")
+    ids = spark.createDataFrame([("A",), ("A",), (None,), ("C",), ("Q",)], "EXPEDIENTE string")
+    assert rows(O.first_polygons(df, ids), "EXPEDIENTE", "oid") == [("A", 2), ("C", 6)]
