@@ -7,7 +7,8 @@ Three habits keep hot keys apart:
 * the remaining rows are found by an anti join on the unique row id, never on the key;
 * look-up joins add a hash of the key as a second join column. The look-up side was just grouped by the key and
   would otherwise be joined without a new shuffle, which hides it from AQE. With both sides freshly shuffled AQE
-  measures them, splits a skewed partition over several tasks or broadcasts a side it has found small.
+  measures them and splits a skewed partition over several tasks. The join is sorted by hint: Spark plans by the files'
+  size, and millions of derived keys may come from a few megabytes, which would be broadcast through the driver.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -25,7 +26,7 @@ def one_per_key(df: DataFrame, key: str, *order) -> DataFrame:
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how="left") -> DataFrame:
     """Join to a side that holds each key once. ``how``: left, inner, left_semi or left_anti."""
     guarded = [side.withColumn(_GUARD, F.xxhash64(key)) for side in (left, right)]
-    return guarded[0].join(guarded[1], [key, _GUARD], how).drop(_GUARD)
+    return guarded[0].join(guarded[1].hint("merge"), [key, _GUARD], how).drop(_GUARD)
 
 
 def keys_of(df: DataFrame, key: str) -> DataFrame:

@@ -332,3 +332,11 @@ def test_first_polygon_of_wanted_ids_only(spark):
     df = spark.createDataFrame([(3, "A"), (1, None), (2, "A"), (4, "B"), (5, ""), (6, "C")], "oid long, EXPEDIENTE string")
     ids = spark.createDataFrame([("A",), ("A",), (None,), ("C",), ("Q",)], "EXPEDIENTE string")
     assert rows(O.first_polygons(df, ids), "EXPEDIENTE", "oid") == [("A", 2), ("C", 6)]
+
+
+def test_states_by_id_are_not_broadcast(spark):
+    base = boxes(spark)
+    new = base.selectExpr("oid", "concat('N', oid) AS EXPEDIENTE", "xmin + 0.25D AS xmin", "ymin", "xmax + 0.25D AS xmax", "ymax")
+    found = O.overlaps_of_new(new, base, base.where("oid < 30"))
+    assert broadcasts(found) == [] and broadcasts(O.overlaps_joined_status(base, base, base)) == []
+    assert rows(found.groupBy("ESTADO").count()) == [("NO_DEFINIDO", 10 + 10 + 39), ("VIGENTE", 30 + 29)]
